@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balls, overlap, ranking, seen
+from . import balls, bpe, overlap, packing, ranking, seen
 from .keys import URL_ESCAPES, fingerprint, letters_digits, lowered_md5, unescaped_url
+from .scratch import written
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -68,6 +69,19 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(overlap.overlaps(items), items)
 
 
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode_corpus(_table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
+
+
+def p8_bins(spark: SparkSession, d: str) -> DataFrame:
+    sizes = written(bpe.token_counts(_table(spark, d, "documents"), "doc_id", "text"), "token-counts")
+    return packing.pack(sizes, _table(spark, d, "pack_capacity"))
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing.fill_report(p8_bins(spark, d), _table(spark, d, "pack_capacity"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_error_rate": p1_error_rate,
@@ -76,6 +90,9 @@ QUERIES = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_report": p5_report,
+    "p7_ids": p7_ids,
+    "p8_bins": p8_bins,
+    "p8_fill": p8_fill,
 }
 
 _UNESCAPED = "url"
