@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balls, bpe, overlap, packing, ranking, seen
+from . import balls, bpe, neighbours, overlap, packing, ranking, seen
 from .keys import URL_ESCAPES, fingerprint, letters_digits, lowered_md5, unescaped_url
 from .scratch import written
 
@@ -69,6 +69,11 @@ def p5_report(spark: SparkSession, d: str) -> DataFrame:
     return overlap.overlap_report(overlap.overlaps(items), items)
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = neighbours.nearest(_table(spark, d, "face"), "face_id", "embedding")
+    return pairs.select(F.least("a", "b").alias("face_a"), F.greatest("a", "b").alias("face_b")).distinct()
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_corpus(_table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
 
@@ -90,6 +95,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_report": p5_report,
+    "p6_found": p6_found,
     "p7_ids": p7_ids,
     "p8_bins": p8_bins,
     "p8_fill": p8_fill,
@@ -121,4 +127,10 @@ ORACLES = {
     "p2_found": f"""{_PICTURES} SELECT a.seq AS seq_a, b.seq AS seq_b FROM i a JOIN i b ON a.label = b.label AND a.seq < b.seq AND (a.md5 = b.md5 OR {_NEAR})""",
     "p5_found": f"{_ITEMS} SELECT least(trained, tested) AS item_a, greatest(trained, tested) AS item_b FROM p",
     "p5_report": f"{_ITEMS} SELECT split, source, count(*) AS pairs, count(DISTINCT tested) AS items FROM p GROUP BY ALL",
+    "p6_found": """
+        WITH v AS (SELECT DISTINCT face_id, CAST(embedding AS DOUBLE[]) AS e FROM face
+                   WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR isnan(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+             c AS (SELECT a.face_id AS a, b.face_id AS b, list_cosine_similarity(a.e, b.e) AS cosine FROM v a JOIN v b ON a.face_id <> b.face_id),
+             r AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS n FROM c WHERE cosine >= 0.85)
+        SELECT DISTINCT least(a, b) AS face_a, greatest(a, b) AS face_b FROM r WHERE n <= 5""",
 }
