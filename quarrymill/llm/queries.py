@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balls, bpe, neighbours, overlap, packing, ranking, seen
+from . import balls, bpe, history, neighbours, overlap, packing, ranking, seen
 from .keys import URL_ESCAPES, fingerprint, letters_digits, lowered_md5, unescaped_url
 from .scratch import written
 
@@ -42,6 +42,10 @@ def p2_groups(spark: SparkSession, d: str) -> DataFrame:
     return groups.select(F.col("id").alias("seq"), "group")
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return history.replay(_table(spark, d, "dedup_item"), _table(spark, d, "reference_vector"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     scored = _table(spark, d, "cleaning_report").select(letters_digits(F.col("politician")).alias("who"), "penalty", "original_name", "report_id")
     scored = scored.where(F.col("who").isNotNull() & F.col("penalty").isNotNull() & ~F.isnan("penalty"))
@@ -92,6 +96,7 @@ QUERIES = {
     "p1_error_rate": p1_error_rate,
     "p2_found": p2_found,
     "p2_groups": p2_groups,
+    "p3_found": p3_found,
     "p4_found": p4_found,
     "p5_found": p5_found,
     "p5_report": p5_report,
