@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import balls, bpe, history, neighbours, overlap, packing, ranking, seen
+from . import balls, bpe, history, neighbours, overlap, packing, prose, ranking, seen
 from .keys import URL_ESCAPES, fingerprint, letters_digits, lowered_md5, unescaped_url
 from .scratch import written
 
@@ -91,6 +91,14 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(p8_bins(spark, d), _table(spark, d, "pack_capacity"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return prose.prose_scores(_table(spark, d, "documents"), "doc_id", "text").where("prose").select("doc_id")
+
+
+def p9_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return prose.prose_scores(_table(spark, d, "documents"), "doc_id", "text")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_error_rate": p1_error_rate,
@@ -104,6 +112,8 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_bins": p8_bins,
     "p8_fill": p8_fill,
+    "p9_found": p9_found,
+    "p9_statistics": p9_statistics,
 }
 
 _UNESCAPED = "url"

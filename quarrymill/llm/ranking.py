@@ -30,7 +30,7 @@ def _changes(column: pa.Array) -> np.ndarray:
     return ~equal.to_numpy(zero_copy_only=False)
 
 
-def _count_along(group: str, same: list[str], keep: int | None, out: list[str]):
+def _count_along(group: str, same: list[str], keep: int | None, out: list[str], weight: str | None = None):
     """Adds each row's place in its group within the partition; summaries of the first and the last group follow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,8 +55,9 @@ def _count_along(group: str, same: list[str], keep: int | None, out: list[str]):
                 other[1:] |= _changes(batch.column(schema.get_field_index(c)))
             here = [batch.column(schema.get_field_index(c)) for c in same]
             other[0] = new_group[0] or row_now is None or any(a[0] != b for a, b in zip(here, row_now, strict=True))
-            running = np.cumsum(other)
-            base = np.maximum.accumulate(np.where(new_group, running - 1, -1))
+            step = other.astype(np.int64) if weight is None else other * batch.column(schema.get_field_index(weight)).to_numpy()
+            running = np.cumsum(step)
+            base = np.maximum.accumulate(np.where(new_group, running - step, -1))
             places = np.where(base < 0, running + place, running - base)
             ends = np.flatnonzero(new_group)
             if first is None and group_now is not None and len(ends):
@@ -78,22 +79,23 @@ def _count_along(group: str, same: list[str], keep: int | None, out: list[str]):
     return run
 
 
-def positions(df: DataFrame, group: str, order_by: list[str], carry: list[str], keep: int | None = None) -> DataFrame:
+def positions(df: DataFrame, group: str, order_by: list[str], carry: list[str], keep: int | None = None, weight: str | None = None) -> DataFrame:
     """``group``, ``carry`` and the exact ``position`` (from 1) of each row in its group.
 
     ``order_by`` must end in a unique identifier: rows equal in all of it are
     redeliveries of one record and count once.  With ``keep``, only positions
     up to it are returned; a task drops what lies beyond it at once.  Nulls sort
     first and null is a group of its own; filter them where they are not wanted.
+    With ``weight``, a row counts that often: ``position`` is the running sum.
     """
-    names = list(dict.fromkeys([group, *order_by, *carry]))
+    names = list(dict.fromkeys([group, *order_by, *carry, *([weight] if weight else [])]))
     rows = df.select(*names)
     ordered = rows.repartitionByRange(*(F.col(c) for c in [group, *order_by])).sortWithinPartitions(group, *order_by)
     fields = {f.name: f.dataType for f in rows.schema.fields}
     schema = T.StructType(
         [T.StructField("part", T.IntegerType()), T.StructField("grp", fields[group]), T.StructField("place", T.LongType()), T.StructField("total", T.LongType()), *(T.StructField(c, fields[c]) for c in carry)]
     )
-    counted = written(ordered.mapInArrow(_count_along(group, order_by, keep, carry), schema), "positions")
+    counted = written(ordered.mapInArrow(_count_along(group, order_by, keep, carry, weight), schema), "positions")
     earlier = Window.partitionBy("grp").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         counted.where("total is not null").select("part", "grp", "total")
