@@ -144,7 +144,7 @@ ORACLES = {
     "p5_report": f"{_ITEMS} SELECT split, source, count(*) AS pairs, count(DISTINCT tested) AS items FROM p GROUP BY ALL",
     "p6_found": """
         WITH v AS (SELECT DISTINCT face_id, CAST(embedding AS DOUBLE[]) AS e FROM face
-                   WHERE len(embedding) = 64 AND len(list_filter(embedding, x -> x IS NULL OR isnan(x))) = 0 AND len(list_filter(embedding, x -> x <> 0)) > 0),
+                   WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
              c AS (SELECT a.face_id AS a, b.face_id AS b, list_cosine_similarity(a.e, b.e) AS cosine FROM v a JOIN v b ON a.face_id <> b.face_id),
              r AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY cosine DESC, b) AS n FROM c WHERE cosine >= 0.85)
         SELECT DISTINCT least(a, b) AS face_a, greatest(a, b) AS face_b FROM r WHERE n <= 5""",
