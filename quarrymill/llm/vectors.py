@@ -88,16 +88,19 @@ def tile_survivors(
     ``left`` once.  Products of 8-bit codes are whole numbers below 2**24 and
     so exact in single precision.
     """
-    worst = float(err.max(initial=0))
+    worst = max(float(err[left].max(initial=0)), float(err[left if right is None else right].max(initial=0)))
     margin = worst * (2 + worst) + SLACK
-    whole = code.astype(np.float32) * scale[:, None]
+    wide = lambda rows: code[rows].astype(np.float32) * scale[rows, None]
+    x_all = wide(left)
+    y_all = x_all if right is None else wide(right)
     for a in range(0, len(left), tile):
         rows = left[a : a + tile]
-        x = whole[rows]
+        x = x_all[a : a + tile]
         others = left[a:] if right is None else right
+        skip = a if right is None else 0
         for b in range(0, len(others), tile):
             cols = others[b : b + tile]
-            product = x @ whole[cols].T
+            product = x @ y_all[skip + b : skip + b + tile].T
             i, j = np.nonzero(product >= least - margin)
             if right is None and b == 0:
                 i, j = i[i < j], j[i < j]
