@@ -106,9 +106,9 @@ def near_prints(prints: DataFrame, hot_half: int = HOT_HALF) -> DataFrame:
     else:
         hot = sizes.select("grp", "no", F.explode(_variants(F.col("own"), 32)).alias("variant")).select(key.alias("key")).distinct().withColumn("hot", F.lit(True))
         marked = plain.join(hot, "key", "left")
-        quarter = F.array(F.struct(F.lit(0).alias("q"), F.shiftrightunsigned("other", 16).alias("v")), F.struct(F.lit(1).alias("q"), F.col("other").bitwiseAND(F.lit(65535)).alias("v")))
-        deep = marked.where("hot").select("key", "fp", F.explode(quarter).alias("q")).select("key", "fp", "q.q", F.explode(_variants(F.col("q.v"), 16)).alias("v"))
-        emitted = marked.where("hot is null").select("key", "fp").unionByName(deep.select(F.xxhash64("key", "q", "v").alias("key"), "fp"))
+        quarter = F.array(F.struct(F.lit(0).alias("side"), F.shiftrightunsigned("other", 16).alias("bits")), F.struct(F.lit(1).alias("side"), F.col("other").bitwiseAND(F.lit(65535)).alias("bits")))
+        deep = marked.where("hot").select("key", "fp", F.explode(quarter).alias("q")).select("key", "fp", "q.side", F.explode(_variants(F.col("q.bits"), 16)).alias("near"))
+        emitted = marked.where("hot is null").select("key", "fp").unionByName(deep.select(F.xxhash64("key", "side", "near").alias("key"), "fp"))
     spread = emitted.repartition(partitions_for(spark, rows, 3 << 20), "key")
     return written(spread.mapInArrow(_colliding(RADIUS), _PAIRS).distinct(), "balls-pairs")
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .scratch import partitions_for, written
 
 LOCAL_SLOTS = 1 << 16
+STEP = 256  # records a filter tests before it takes them in
 BITMAP_BITS = 1 << 25  # 4 MB however many positives there are
 BITMAP_CHUNK = 32768  # bits of one bitmap_construct_agg value
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -122,8 +123,8 @@ def _filter_pass(config: SeenConfig):
             for k in np.unique(part):
                 if k != slice_now:
                     slice_now, bloom = k, _Bloom(config.keys_per_filter, config.false_positive_rate)
-                own = np.flatnonzero((part == k) & ~sure)
-                if len(own):
+                every = np.flatnonzero((part == k) & ~sure)
+                for own in np.split(every, range(STEP, len(every), STEP)) if len(every) else ():
                     _, once = np.unique(h[own], return_index=True)
                     repeat = np.ones(len(own), bool)
                     repeat[once] = False
