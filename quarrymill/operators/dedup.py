@@ -1,17 +1,18 @@
 """Layered duplicate removal: match graphs of each layer, then greedy order-aware resolution.
 
-Every layer yields edges ``(label, a, b, layer)``, ``a`` before ``b``.  The
-layers are joined into one graph before resolving, since an item that one layer
-drops must not suppress others through another.
+Items with an equal value of a layer are one class; a layer's match graph lies
+between classes.  The layers are joined into one graph before resolving, since
+an item that one layer drops must not suppress others through another.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors as V
@@ -22,21 +23,12 @@ LAYERS = ("md5", "phash", "emb")  # also the order in which a reason is given
 
 
 def exact_edges(df: DataFrame, label: str, order: str, key: str) -> DataFrame:
-    """Each later copy of an equal key with the first one, so that n copies give n - 1 edges.
-
-    For the resolver that isn't enough (the first may itself be dropped); use :func:`chain_edges` there.
-    """
+    """Each later copy of an equal key with the first one, so that n copies give n - 1 edges."""
     base = df.where(f"{label} is not null and {key} is not null")
     first = base.groupBy(label, key).agg(F.min(order).alias("a"))
     return base.join(first, [label, key]).where(F.col(order) > F.col("a")).select(label, "a", F.col(order).alias("b"))
 
 
-def key_edges(df: DataFrame, label: str, order: str, key: str) -> DataFrame:
-    """All pairs of equal keys."""
-    base = df.where(f"{label} is not null and {key} is not null").select(label, key, F.col(order).alias("a"))
-    return base.join(base.withColumnRenamed("a", "b"), [label, key]).where("a < b").select(label, "a", "b")
-
-
 def hamming_edges(df: DataFrame, label: str, order: str, bits: str, most: int = DEFAULTS.duplicate_distance) -> DataFrame:
     """Pairs of 64-bit fingerprints (long) within ``most``: an exact band join.
 
@@ -98,31 +90,48 @@ def cosine_edges(df: DataFrame, label: str, order: str, vector: str, least: floa
     return found.join(base.select(label, F.col("id").alias("a")), "a").select(label, "a", "b")
 
 
-def match_graph(**layers: DataFrame) -> DataFrame:
-    """Edges of all layers with their ``layer``; names among md5, phash, emb."""
-    parts = [edges.select(edges.columns[0], "a", "b").withColumn("layer", F.lit(name)) for name, edges in layers.items()]
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return out
+def class_members(df: DataFrame, label: str, order: str, **layers: str) -> DataFrame:
+    """``(id, layer, cls)``: the class of equal values an item belongs to in each layer; a null value belongs to none."""
+    parts = [
+        df.where(f"{label} is not null and {column} is not null").select(F.col(order).alias("id"), F.lit(layer).alias("layer"), F.xxhash64(F.lit(layer), label, column).alias("cls"))
+        for layer, column in layers.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def greedy_keep(items: DataFrame, edges: DataFrame, order: str, rounds: int = 1000) -> DataFrame:
+def near_classes(df: DataFrame, label: str, layer: str, column: str, pairs: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(cls, other)``: classes of a layer that match each other; ``pairs`` finds ``(a, b)`` among one row for each class."""
+    base = df.where(f"{label} is not null and {column} is not null").withColumn("cls", F.xxhash64(F.lit(layer), label, column)).dropDuplicates(["cls"])
+    found = written(pairs(base).select("a", "b"), "near-classes")
+    return found.select(F.col("a").alias("cls"), F.col("b").alias("other")).unionByName(found.select(F.col("b").alias("cls"), F.col("a").alias("other")))
+
+
+def _rivals(members: DataFrame, near: DataFrame, status: DataFrame) -> DataFrame:
+    """``(id, layer, k, u)``: the least kept and the least undecided item an item matches in a layer, itself included."""
+    seen = members.join(status, "id")
+    own = seen.groupBy("cls").agg(F.min(F.when(F.col("kept"), F.col("id"))).alias("k"), F.min(F.when(F.col("kept").isNull(), F.col("id"))).alias("u"))
+    around = near.join(own.withColumnRenamed("cls", "other"), "other").select("cls", "k", "u")
+    least = own.unionByName(around).groupBy("cls").agg(F.min("k").alias("k"), F.min("u").alias("u"))
+    return members.join(least, "cls").groupBy("id", "layer").agg(F.min("k").alias("k"), F.min("u").alias("u"))
+
+
+def greedy_by_class(items: DataFrame, members: DataFrame, near: DataFrame, order: str, rounds: int = 1000) -> DataFrame:
     """``items`` with ``kept``: an item is kept unless an earlier kept one matches it.
 
-    ``edges(a, b)``, ``a`` earlier.  A fixpoint over the undecided items that
-    have an edge: without an undecided or kept earlier neighbour an item is
-    kept, beside a kept earlier one it is dropped.  Rounds are written to the
-    shared folder; their number is the longest chain of dependent decisions.
+    Two items match when they share a class or belong to matching ones; classes
+    stand for their members, so that many copies make no pairs.  A fixpoint: an
+    item without an earlier undecided or kept match is kept, beside an earlier
+    kept one it is dropped.  Rounds are written to the shared folder; their
+    number is the longest chain of dependent decisions.
     """
-    edges = written(edges.select("a", "b").distinct(), "greedy-edges")
-    status = written(edges.select(F.col("b").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")), "greedy-status")
+    linked = near.select("cls").unionByName(members.groupBy("cls").count().where("count > 1").select("cls")).distinct()
+    members = written(members.join(linked, "cls", "left_semi"), "greedy-members")
+    near = written(near, "greedy-near")
+    status = members.select("id").distinct().withColumn("kept", F.lit(None).cast("boolean"))
     for _ in range(rounds):
-        # an item that is nobody's later neighbour is kept from the start
-        earlier = edges.join(status.select(F.col("id").alias("a"), F.col("kept").alias("k"), F.lit(True).alias("there")), "a", "left")
-        seen = earlier.groupBy("b").agg(F.max(F.col("there").isNull() | F.coalesce("k", F.lit(False))).alias("beaten"), F.max(F.col("there").isNotNull() & F.col("k").isNull()).alias("waits"))
-        new = F.coalesce("kept", F.when(F.col("beaten"), False).when(~F.col("waits"), True))
-        status = written(status.join(seen.withColumnRenamed("b", "id"), "id").select("id", new.alias("kept")), "greedy-status")
+        rival = _rivals(members, near, status).groupBy("id").agg(F.min("k").alias("k"), F.min("u").alias("u"))
+        new = F.coalesce("kept", F.when(F.coalesce(F.col("k") < F.col("id"), F.lit(False)), False).when(F.col("u") >= F.col("id"), True))
+        status = written(status.join(rival, "id").select("id", new.alias("kept")), "greedy-status")
         if status.where("kept is null").isEmpty():
             break
     else:
@@ -130,13 +139,20 @@ def greedy_keep(items: DataFrame, edges: DataFrame, order: str, rounds: int = 10
     return items.join(status.withColumnRenamed("id", order), order, "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
 
 
-def drop_reasons(kept: DataFrame, edges: DataFrame, order: str) -> DataFrame:
-    """``(order, reason)`` of dropped items: the first layer, in the order of LAYERS, by which a kept earlier item matches."""
+def greedy_keep(items: DataFrame, edges: DataFrame, order: str, rounds: int = 1000) -> DataFrame:
+    """The same from plain edges ``(a, b)``: every item is a class of its own."""
+    both = edges.select(F.col("a").alias("cls"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("cls"), F.col("a").alias("other"))).distinct()
+    members = items.select(F.col(order).alias("id"), F.lit("any").alias("layer"), F.col(order).alias("cls"))
+    return greedy_by_class(items, members, both, order, rounds)
+
+
+def drop_reasons(kept: DataFrame, members: DataFrame, near: DataFrame, order: str) -> DataFrame:
+    """``(order, reason)`` of dropped items: the first layer, in the order of LAYERS, in which a kept earlier item matches."""
     rank = F.array_position(F.array(*map(F.lit, LAYERS)), F.col("layer"))
-    alive = kept.where("kept").select(F.col(order).alias("a"))
-    best = edges.join(alive, "a").groupBy("b").agg(F.min(rank).cast("int").alias("r"))
-    dropped = kept.where("not kept").select(F.col(order).alias("b"))
-    return dropped.join(best, "b").select(F.col("b").alias(order), F.concat(F.lit("dup:"), F.element_at(F.array(*map(F.lit, LAYERS)), F.col("r"))).alias("reason"))
+    rival = _rivals(members, near, kept.select(F.col(order).alias("id"), "kept")).where(F.col("k") < F.col("id"))
+    best = rival.groupBy("id").agg(F.min(rank).cast("int").alias("r"))
+    dropped = kept.where("not kept").select(F.col(order).alias("id"))
+    return dropped.join(best, "id").select(F.col("id").alias(order), F.concat(F.lit("dup:"), F.element_at(F.array(*map(F.lit, LAYERS)), F.col("r"))).alias("reason"))
 
 
 def store_sizes(df: DataFrame, label: str, md5: str, phash: str, vector: str) -> DataFrame:

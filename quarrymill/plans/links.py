@@ -35,11 +35,12 @@ def url_unseen(spark: SparkSession, d: str) -> DataFrame:
 
 
 def page_urls(spark: SparkSession, d: str) -> DataFrame:
-    """Pages made of the queued URLs of a batch and label, between quotes, as a search result holds them."""
-    pages = _queued(spark, d).where("label is not null").groupBy("label", "batch_no").agg(
+    """Pages made of a label's queued URLs, of up to 20 neighbouring places, between quotes, as a search result holds them."""
+    rows = _queued(spark, d).where("label is not null").withColumn("page", F.floor(F.col("seq") / 20))
+    pages = rows.groupBy("label", "page").agg(
         F.concat(F.lit('<html>["'), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "url"))), lambda s: s["url"]), '"],["'), F.lit('"]</html>')).alias("html")
     )
-    return pages.select("label", "batch_no", F.posexplode(urls.picture_urls(F.col("html"))).alias("position", "url"))
+    return pages.select("label", "page", F.posexplode(urls.picture_urls(F.col("html"))).alias("position", "url"))
 
 
 def query_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -74,9 +75,9 @@ ORACLES = {
     "url_unseen": f"""WITH {_Q}, h AS (SELECT max(batch_no) // 2 AS half FROM q WHERE label IS NOT NULL)
         SELECT seq FROM q WHERE label IS NOT NULL AND batch_no > (SELECT half FROM h)
         AND NOT EXISTS (SELECT 1 FROM q p WHERE p.label = q.label AND p.url = q.url AND p.batch_no <= (SELECT half FROM h))""",
-    "page_urls": rf"""WITH {_Q}, u AS (SELECT label, batch_no, seq, {_PLAIN} AS url FROM q WHERE label IS NOT NULL AND regexp_matches(url, '(?i)^https?://.{{10,}}\.(jpg|jpeg|png|webp).{{0,200}}$')),
-        f AS (SELECT label, batch_no, url, min(seq) AS seq FROM u WHERE NOT ({_BAD}) GROUP BY 1, 2, 3)
-        SELECT label, batch_no, CAST(row_number() OVER (PARTITION BY label, batch_no ORDER BY seq) - 1 AS INTEGER) AS position, url FROM f""",
+    "page_urls": rf"""WITH {_Q}, u AS (SELECT label, seq // 20 AS page, seq, {_PLAIN} AS url FROM q WHERE label IS NOT NULL AND regexp_matches(url, '(?i)^https?://.{{10,}}\.(jpg|jpeg|png|webp).{{0,200}}$')),
+        f AS (SELECT label, page, url, min(seq) AS seq FROM u WHERE NOT ({_BAD}) GROUP BY 1, 2, 3)
+        SELECT label, page, CAST(row_number() OVER (PARTITION BY label, page ORDER BY seq) - 1 AS INTEGER) AS position, url FROM f""",
     "query_texts": """SELECT n_name, position, tier, replace(replace(text, '{name}', name), ' ', '+') AS query FROM
         (SELECT n_name, array_to_string(list_transform(string_split(replace(n_name, '_', ' '), ' '), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), ' ') AS name FROM nation)
         CROSS JOIN (VALUES (0, 1, '{name} port'), (1, 1, '{name} map'), (2, 2, '{name} river'), (3, 3, '{name}')) t(position, tier, text)""",

@@ -83,26 +83,24 @@ def cosine_pairs(spark: SparkSession, d: str) -> DataFrame:
     return dedup.cosine_edges(_items(spark, d), "label", "seq", "embedding").select("a", "b")
 
 
-def _graph(items: DataFrame) -> DataFrame:
-    return written(
-        dedup.match_graph(
-            md5=dedup.key_edges(items, "label", "seq", "md5"), phash=dedup.hamming_edges(items, "label", "seq", "fp"), emb=dedup.cosine_edges(items, "label", "seq", "embedding")
-        ),
-        "match-graph",
-    )
+def _graph(items: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes of the three layers, and which of them match."""
+    members = written(dedup.class_members(items, "label", "seq", md5="md5", phash="fp", emb="embedding"), "dedup-members")
+    prints = dedup.near_classes(items, "label", "phash", "fp", lambda one: dedup.hamming_edges(one, "label", "cls", "fp"))
+    vectors = dedup.near_classes(items, "label", "emb", "embedding", lambda one: dedup.cosine_edges(one, "label", "cls", "embedding"))
+    return members, prints.unionByName(vectors)
 
 
 def greedy_dedup(spark: SparkSession, d: str) -> DataFrame:
     """All layers in one graph, resolved greedily in order of seq."""
     items = written(_items(spark, d), "dedup-items")
-    edges = _graph(items)
-    return dedup.greedy_keep(items.select("seq"), edges, "seq").select("seq", "kept")
+    return dedup.greedy_by_class(items.select("seq"), *_graph(items), "seq").select("seq", "kept")
 
 
 def dedup_reasons(spark: SparkSession, d: str) -> DataFrame:
     items = written(_items(spark, d), "dedup-items")
-    edges = _graph(items)
-    return dedup.drop_reasons(dedup.greedy_keep(items.select("seq"), edges, "seq"), edges, "seq")
+    members, near = _graph(items)
+    return dedup.drop_reasons(dedup.greedy_by_class(items.select("seq"), members, near, "seq"), members, near, "seq")
 
 
 def greedy_cosine_dedup(spark: SparkSession, d: str) -> DataFrame:

@@ -63,13 +63,13 @@ def test_hamming_bands_equal_brute_force(spark, most):
 
 
 def test_greedy_chain_and_crossing_layers(spark):
-    items = spark.createDataFrame([(i,) for i in (1, 2, 3, 9)], "seq long")
-    edges = dedup.match_graph(
-        phash=spark.createDataFrame([("x", 1, 2)], "label string, a long, b long"), emb=spark.createDataFrame([("x", 2, 3)], "label string, a long, b long")
-    )
-    kept = dedup.greedy_keep(items, edges, "seq")
+    # 2 and 1 match by print; 3 and 2 by vector; 4 copies 1; 9 is alone
+    members = spark.createDataFrame([(1, "phash", 11), (2, "phash", 12), (2, "emb", 22), (3, "emb", 23), (1, "md5", 5), (4, "md5", 5), (9, "md5", 6)], "id long, layer string, cls long")
+    near = spark.createDataFrame([(11, 12), (12, 11), (22, 23), (23, 22)], "cls long, other long")
+    items = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 9)], "seq long")
+    kept = dedup.greedy_by_class(items, members, near, "seq")
     assert {r.seq for r in kept.where("kept").collect()} == {1, 3, 9}
-    assert [tuple(r) for r in dedup.drop_reasons(kept, edges, "seq").collect()] == [(2, "dup:phash")]
+    assert {tuple(r) for r in dedup.drop_reasons(kept, members, near, "seq").collect()} == {(2, "dup:phash"), (4, "dup:md5")}
 
 
 @settings(max_examples=4, deadline=None)
@@ -163,8 +163,9 @@ def test_streams_equal_batch_over_micro_batches(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
     flows.drain(flows.deduplicated_stream(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
     got = {r.seq for r in spark.read.parquet(str(tmp_path / "out")).where("reason = 'new'").collect()}
-    edges = dedup.match_graph(md5=dedup.key_edges(df, "label", "seq", "md5"), emb=dedup.cosine_edges(df, "label", "seq", "embedding"))
-    assert got == {r.seq for r in dedup.greedy_keep(df.select("seq"), edges, "seq").where("kept").collect()}
+    members = dedup.class_members(df, "label", "seq", md5="md5", emb="embedding")
+    near = dedup.near_classes(df, "label", "emb", "embedding", lambda one: dedup.cosine_edges(one, "label", "cls", "embedding"))
+    assert got == {r.seq for r in dedup.greedy_by_class(df.select("seq"), members, near, "seq").where("kept").collect()}
 
 
 def png(rgb: np.ndarray) -> bytes:
