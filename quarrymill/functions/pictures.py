@@ -103,6 +103,28 @@ def turned(a: np.ndarray, orientation: int) -> np.ndarray:
     return turn.get(orientation, lambda p: p)(a)
 
 
+def exif_orientation(content: bytes) -> int:
+    """Orientation 1 to 8 from a JPEG's EXIF segment; 1 where there is none or it is broken."""
+    at = 2
+    while content[:2] == b"\xff\xd8" and at + 4 <= len(content) and content[at] == 0xFF:
+        size = int.from_bytes(content[at + 2 : at + 4], "big")
+        body = content[at + 4 : at + 2 + size]
+        if content[at + 1] == 0xE1 and body[:6] == b"Exif\0\0":
+            tiff = body[6:]
+            order = {b"II": "little", b"MM": "big"}.get(tiff[:2])
+            if order is None:
+                return 1
+            number = lambda i, n: int.from_bytes(tiff[i : i + n], order)
+            first = number(4, 4)
+            for entry in range(first + 2, first + 2 + 12 * number(first, 2), 12):
+                if number(entry, 2) == 0x0112:
+                    value = number(entry + 8, 2)
+                    return value if 1 <= value <= 8 else 1
+            return 1
+        at += 2 + max(2, size)
+    return 1
+
+
 def _each(image: pd.DataFrame):
     for d, h, w, c in zip(image["data"], image["height"], image["width"], image["nChannels"], strict=True):
         yield None if d is None or h is None or h <= 0 or w <= 0 else pixels(d, h, w, c)

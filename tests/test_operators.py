@@ -233,3 +233,22 @@ def test_vector_functions(spark):
     p = np.exp([1, 3, 3]) / np.exp([1, 3, 3]).sum()
     assert row[0] == 1 and np.allclose(row[1], p) and row[2] == 2 and row[3] == 3
     assert np.isclose(row[4], -0.9 * np.log(p[1]) - 0.1 * np.log(p).mean())
+
+
+def test_linear_inference(spark, tmp_path):
+    from quarrymill.operators import inference
+
+    path = str(tmp_path / "model.npz")
+    inference.save_linear(path, np.array([[1.0, 0.0], [0.0, 2.0]]), np.array([0.5, 0.0]), ["a", "b"])
+    df = spark.createDataFrame([(1, [1.0, 1.0]), (2, None), (3, [3.0, 0.0]), (4, [1.0])], "id int, v array<double>")
+    rows = {r.id: r for r in inference.linear_logits(df, "v", path).withColumn("probabilities", V.softmax(F.col("logits"))).collect()}
+    assert rows[1].logits == [1.5, 2.0] and rows[3].logits == [3.5, 0.0] and rows[2].logits is None and rows[4].logits is None
+    served = evaluation.prediction_response(inference.linear_logits(df.where("id = 1"), "v", path).withColumn("probabilities", V.softmax(F.col("logits")))).first()
+    assert served.all_results[0].label == "b" and '"prediction":"b"' in served.response
+
+
+def test_exif_orientation():
+    tiff = b"MM\0*\0\0\0\x08" + b"\0\x01" + b"\x01\x12\0\x03\0\0\0\x01\0\x06\0\0" + b"\0\0\0\0"
+    body = b"Exif\0\0" + tiff
+    jpeg = b"\xff\xd8\xff\xe0\0\x04ab" + b"\xff\xe1" + (len(body) + 2).to_bytes(2, "big") + body + b"\xff\xd9"
+    assert P.exif_orientation(jpeg) == 6 and P.exif_orientation(jpeg[:30]) in range(1, 9) and P.exif_orientation(b"nothing") == 1
