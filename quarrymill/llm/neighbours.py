@@ -35,7 +35,7 @@ class NeighbourConfig:
     least: float = 0.85
     tables: int = 6  # independent coarse partitions
     exact_up_to: int = 4096  # so few vectors are one cell
-    sample: int = 20_000  # vectors the cells' centres are fitted on; every vector is indexed
+    sample: int = 20_000  # vectors, on average, that the cells' centres are fitted on; every vector is indexed
     most_cells: int = 2048
     heap: int = 16  # candidates a vector keeps in a cell
     dims: int = 64
@@ -117,11 +117,13 @@ def nearest(df: DataFrame, id_: str, vector: str, config: NeighbourConfig = Neig
     again = written(members.where("id <> rep").select("id").distinct(), "class-copies")
     reps = join_counted(base, again, "id", "left_anti")
 
-    sample = base.orderBy(F.xxhash64("id"), "id").limit(config.sample).select("vector").toArrow()  # bounded
     n = base.count()
     cells = 1 if n <= config.exact_up_to else min(config.most_cells, max(1, round(0.66 * math.sqrt(n))))
     tables = 1 if cells == 1 else config.tables
     if n and cells > 1:
+        # by the ids' hashes, so the same rows each time; their number is the sample's, give or take its root
+        share = min(1 << 30, math.ceil((1 << 30) * config.sample / n))
+        sample = base.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).select("id", "vector").orderBy("id").select("vector").toArrow()
         centres = fit_centres(unit(stacked(sample["vector"].combine_chunks())).astype(np.float32), cells, tables)
         shared = spark.sparkContext.broadcast(centres)
 
