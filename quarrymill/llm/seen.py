@@ -160,7 +160,7 @@ def seen_before(df: DataFrame, keys: list[str], order: str, config: SeenConfig =
     whole = df.select(*(F.col(k).alias(f"key{i}") for i, k in enumerate(keys)), F.col(order).cast("long").alias("order")).dropna()
     whole = whole.withColumn("hash", F.xxhash64(*(f"key{i}" for i in range(len(keys)))))
     narrow = whole.select("hash", "order")
-    n = whole.count()
+    n = df.count()  # reads no column; an upper bound is enough
     slices = max(1, math.ceil(n / config.keys_per_filter))
     marked = narrow.mapInArrow(_mark_local, "hash long, order long, sure boolean")
     own = F.pmod(F.shiftrightunsigned("hash", 20), F.lit(slices))
