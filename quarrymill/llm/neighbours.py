@@ -4,10 +4,13 @@ Equal vectors are one class.  Class vectors are coded in 16 bits and assigned
 to one cell of each of several independent coarse partitions; cells (blocks of
 them, where a cell is large) are multiplied with themselves.  A tile product of
 8-bit codes with its error bound drops nearly all pairs; survivors are
-recomputed in floating point from the 16-bit codes, and each vector keeps a
-bounded heap.  The heaps of all cells are merged; where the order around rank k
-or the least cosine is closer than the remaining error, the original vectors
-decide.  What the coarse partitions miss is the accuracy loss (see README).
+recomputed in floating point from the 16-bit codes, and each vector keeps what
+may still be among its k + 1 nearest, given the error bounds.  The lists of all
+cells are merged; where the order around rank k or the least cosine is closer
+than the remaining error, the original vectors decide.  A vector with more
+candidates within the error than its heap holds (near-copies) meets its cells a
+second time, in double precision on the original vectors.  What the coarse
+partitions miss is the accuracy loss (see README).
 """
 
 from __future__ import annotations
@@ -27,6 +30,9 @@ from .scratch import partitions_for, written
 from .vectors import SLACK, blocked_cells, by_task, coded, encode, exact_cosine, from_binary, join_counted, present, stacked, tile_survivors, unit
 
 _DIRECTED = "a long, b long, cosine float, bound float"
+_PAIRS = 1 << 17  # pairs whose vectors are taken out at a time
+_STRIP = 256  # rows of an exact product
+_ROUNDING = 1e-13  # of cosines in double precision, summed in any order, twice
 
 
 @dataclass(frozen=True)
@@ -37,7 +43,7 @@ class NeighbourConfig:
     exact_up_to: int = 4096  # so few vectors are one cell
     sample: int = 20_000  # vectors, on average, that the cells' centres are fitted on; every vector is indexed
     most_cells: int = 2048
-    heap: int = 16  # candidates a vector keeps in a cell
+    heap: int = 16  # candidates of a vector that the codes may leave; with more, the original vectors decide
     dims: int = 64
 
 
@@ -57,17 +63,31 @@ def fit_centres(rows: np.ndarray, cells: int, tables: int, rounds: int = 4) -> l
     return out
 
 
-def _heaps(q: np.ndarray, o: np.ndarray, cosine: np.ndarray, bound: np.ndarray, ids: np.ndarray, keep: int):
-    """The ``keep`` best of each q, the smaller id first among equals."""
-    by = np.lexsort((ids[o], -cosine, q))
+def _heaps(q: np.ndarray, o: np.ndarray, cosine: np.ndarray, bound: np.ndarray, need: int, heap: int):
+    """What may be among the ``need`` nearest of each q, and the q's that have more than ``heap`` of it, which keep nothing.
+
+    Behind ``need`` others for certain is whose cosine with its bound lies below
+    the ``need``-th best cosine without it.
+    """
+    by = np.lexsort((bound - cosine, q))
     q, o, cosine, bound = q[by], o[by], cosine[by], bound[by]
     first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
-    rank = np.arange(len(q)) - np.repeat(first, np.diff(np.r_[first, len(q)]))
-    top = rank < keep
-    return q[top], o[top], cosine[top], bound[top]
+    many = np.diff(np.r_[first, len(q)])
+    last = (cosine - bound)[np.minimum(first + need - 1, len(q) - 1)]
+    kept = cosine + bound >= np.repeat(np.where(many >= need, last, -np.inf), many)
+    over = np.add.reduceat(kept.astype(np.int64), first) > heap
+    kept &= ~np.repeat(over, many)
+    return (q[kept], o[kept], cosine[kept], bound[kept]), q[first[over]]
+
+
+def _once(rows: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """One row of each id: a record delivered twice counts once."""
+    return rows[np.unique(ids[rows], return_index=True)[1]]
 
 
 def _tiles(config: NeighbourConfig):
+    """Lists of candidates; a row without b, cosine and bound is a vector that the codes can't settle."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [b for b in batches if b.num_rows]
         if not got:
@@ -79,28 +99,106 @@ def _tiles(config: NeighbourConfig):
         fine = code.astype(np.float32) * scale[:, None]
         short, short_scale, short_err = encode(fine.astype(np.float64), np.int8)
         short_err = short_err + err
+        names = ["a", "b", "cosine", "bound"]
+        for rows in by_task(task):
+            left, right = _once(rows[part[rows] == 0], ids), _once(rows[part[rows] == 1], ids)
+            lists = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, np.float32)]
+            full = np.zeros(len(ids), bool)
+            fresh: list[list[np.ndarray]] = []
+
+            def settle(lists, fresh, full):
+                joined = [np.concatenate(x) for x in zip(lists, *fresh, strict=True)]
+                open_ = ~full[joined[0]]
+                if not open_.any():
+                    return [x[:0] for x in joined]
+                kept, over = _heaps(*(x[open_] for x in joined), config.k + 1, config.heap)
+                full[over] = True
+                return list(kept)
+
+            for r_all, c_all, _, _ in tile_survivors(short, short_scale, short_err, left, right if len(right) else None, config.least):
+                for at in range(0, len(r_all), _PAIRS):
+                    r, c = r_all[at : at + _PAIRS], c_all[at : at + _PAIRS]
+                    some = ~(full[r] & full[c])
+                    r, c = r[some], c[some]
+                    value = np.einsum("ij,ij->i", fine[r], fine[c])
+                    error = err[r] * (1 + err[c]) + err[c] + np.float32(SLACK)
+                    some = value + error >= config.least
+                    r, c, value, error = r[some], c[some], value[some], error[some]
+                    fresh += [[r, c, value, error], [c, r, value, error]]
+                    if sum(len(x[0]) for x in fresh) > 1 << 19:
+                        lists, fresh = settle(lists, fresh, full), []
+            lists = settle(lists, fresh, full)
+            if len(lists[0]):
+                q, o, cosine, bound = lists
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(ids[o]), pa.array(cosine.astype(np.float32)), pa.array(bound.astype(np.float32))], names)
+            over = np.flatnonzero(full)
+            if len(over):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[over]), pa.nulls(len(over), pa.int64()), pa.nulls(len(over), pa.float32()), pa.nulls(len(over), pa.float32())], names)
+
+    return run
+
+
+def _summed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Scalar products of rows, added up in the order of ``exact_cosine``, so that both give the same bits."""
+    total = np.zeros(len(x))
+    for d in range(x.shape[1]):
+        total += x[:, d] * y[:, d]
+    return total
+
+
+def _exact_tiles(config: NeighbourConfig):
+    """The k + 1 nearest in its task of every row marked ``hard``, by the original vectors, the smaller id first among equals."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        table = pa.Table.from_batches(got).combine_chunks()
+        task, part, ids = (table[c].to_numpy() for c in ("task", "part", "id"))
+        hard = table["hard"].to_numpy(zero_copy_only=False)
+        raw = stacked(table["vector"].chunk(0)).astype(np.float64)
+        del table, got
+        near, length, need = unit(raw), np.sqrt(_summed(raw, raw)), config.k + 1
         for rows in by_task(task):
             left, right = rows[part[rows] == 0], rows[part[rows] == 1]
-            q, o, cosine, bound = ([] for _ in range(4))
-            for r, c, _, _ in tile_survivors(short, short_scale, short_err, left, right if len(right) else None, config.least):
-                value = np.einsum("ij,ij->i", fine[r], fine[c])
-                error = err[r] * (1 + err[c]) + err[c] + np.float32(SLACK)
-                some = value + error >= config.least
-                r, c, value, error = r[some], c[some], value[some], error[some]
-                q += [r, c]
-                o += [c, r]
-                cosine += [value, value]
-                bound += [error, error]
-                if sum(map(len, q)) > 1 << 20:
-                    q, o, cosine, bound = ([x] for x in _heaps(*map(np.concatenate, (q, o, cosine, bound)), ids, config.heap))
-            if q:
-                q, o, cosine, bound = _heaps(*map(np.concatenate, (q, o, cosine, bound)), ids, config.heap)
-                if len(q):
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(ids[o]), pa.array(cosine.astype(np.float32)), pa.array(bound.astype(np.float32))], ["a", "b", "cosine", "bound"])
+            for own, others in [(left, right), (right, left)] if len(right) else [(left, left)]:
+                own = own[hard[own]]
+                for at in range(0, len(own), _STRIP):
+                    q = own[at : at + _STRIP]
+                    product = near[q] @ near[others].T
+                    product[ids[q][:, None] == ids[others]] = -np.inf
+                    least = np.full((len(q), 1), config.least)
+                    if len(others) > need:
+                        least = np.maximum(least, np.partition(product, -need, axis=1)[:, [-need]])
+                    i, j = np.nonzero(product >= least - _ROUNDING)
+                    if not len(i):
+                        continue
+                    a, b = q[i], others[j]
+                    cosine = np.concatenate([_summed(raw[a[s : s + _PAIRS]], raw[b[s : s + _PAIRS]]) for s in range(0, len(a), _PAIRS)]) / (length[a] * length[b])
+                    by = np.lexsort((ids[b], -cosine, a))
+                    a, b, cosine = a[by], b[by], cosine[by]
+                    first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]])
+                    top = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)])) < need
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[a[top]]), pa.array(ids[b[top]]), pa.array(cosine[top])], ["a", "b", "cosine"])
 
     return run
 
 
+def _settled(spots: DataFrame, hard: DataFrame, base: DataFrame, config: NeighbourConfig) -> DataFrame:
+    """``spots(task, part, id)``, ``hard(id)`` -> ``(a, b, cosine)``: the k + 1 nearest of the hard ones in all their cells."""
+    spark = spots.sparkSession
+    tasks = written(join_counted(spots, hard, "id").select("task").distinct(), "hard-tasks")
+    again = written(join_counted(spots, tasks, "task").distinct(), "hard-spots")
+    some = written(again.select("id").distinct(), "hard-ids")
+    vectors = join_counted(base, some, "id").dropDuplicates(["id"])
+    marked = vectors.join(hard.withColumn("hard", F.lit(True)), "id", "left").withColumn("hard", F.coalesce("hard", F.lit(False)))
+    rows = again.join(marked, "id").select("task", "part", "id", "hard", "vector")
+    spread = rows.repartition(partitions_for(spark, again.count(), 1 << 15), "task")
+    met = spread.mapInArrow(_exact_tiles(config), "a long, b long, cosine double").groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+    best = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
+    return met.withColumn("place", F.row_number().over(best)).where(F.col("place") <= config.k + 1).drop("place")
+
+
 def nearest(df: DataFrame, id_: str, vector: str, config: NeighbourConfig = NeighbourConfig()) -> DataFrame:
     """Rows ``(a, b, cosine)``: b is among the k most similar others of a, with at least the least cosine.
 
@@ -139,28 +237,42 @@ def nearest(df: DataFrame, id_: str, vector: str, config: NeighbourConfig = Neig
     rows = codes.select(F.explode("cells").alias("cell"), "id", "code", "scale", "err")
     met = blocked_cells(rows).select("task", "part", "id", "code", "scale", "err")
     spread = met.repartition(partitions_for(spark, n * tables, 1 << 17), "task")
-    pairs = spread.mapInArrow(_tiles(config), _DIRECTED).where("a <> b").groupBy("a", "b").agg(F.max("cosine").alias("cosine"), F.max("bound").alias("bound"))
+    pairs = spread.mapInArrow(_tiles(config), _DIRECTED).groupBy("a", "b").agg(F.max("cosine").alias("cosine"), F.max("bound").alias("bound"))
+    # the same rule over all cells: whatever may be among the k + 1 nearest stays, or the vector is hard
+    of = Window.partitionBy("a")
+    low, high = F.col("cosine") - F.col("bound"), F.col("cosine") + F.col("bound")
+    placed = pairs.withColumn("place", F.row_number().over(of.orderBy(F.desc_nulls_last(low))))
+    placed = placed.withColumn("last", F.max(F.when(F.col("place") == config.k + 1, low)).over(of))
+    placed = placed.withColumn("may", F.coalesce(high >= F.col("last"), F.col("b").isNotNull()))
+    placed = placed.withColumn("hard", F.max(F.col("b").isNull()).over(of) | (F.sum(F.col("may").cast("int")).over(of) > config.heap))
+    listed = written(placed.where("if(hard, place = 1, may)").select("a", "b", "cosine", "bound", "hard"), "neighbour-pairs")
+    pairs = listed.where("not hard").select("a", "b", F.col("cosine").cast("double").alias("cosine"), "bound")
+    hard = written(listed.where("hard").select(F.col("a").alias("id")), "neighbour-hard")
+    if not hard.isEmpty():
+        settled = _settled(met.select("task", "part", "id"), hard, base, config)
+        pairs = pairs.unionByName(settled.withColumn("bound", F.lit(0.0).cast("float")))
 
     # of a class only its first k + 1 members can be among anyone's k nearest
     few = written(positions(members, "rep", ["id"], ["id"], keep=config.k + 1), "class-firsts")
-    own = few.select(F.col("rep").alias("a"), F.col("rep").alias("b")).distinct().withColumns({"cosine": F.lit(1.0).cast("float"), "bound": F.lit(0.0).cast("float")})
+    own = few.select(F.col("rep").alias("a"), F.col("rep").alias("b")).distinct().withColumns({"cosine": F.lit(1.0), "bound": F.lit(0.0).cast("float")})
     later = few.where("position > 1").select(F.col("rep").alias("b"), F.col("id").alias("other"))
     met = pairs.unionByName(own)
     met = met.select("*", F.col("b").alias("other")).unionByName(join_counted(met, written(later, "class-later"), "b").select("a", "b", "cosine", "bound", "other"))
 
     each = Window.partitionBy("a")
-    ranked = met.withColumn("place", F.row_number().over(each.orderBy(F.desc("cosine"), "other"))).where(F.col("place") <= config.heap)
+    ranked = met.withColumn("place", F.row_number().over(each.orderBy(F.desc("cosine"), "other")))
     # list place k + 1 matters too: a member drops itself from its class's list
     at = lambda p: F.max(F.when(F.col("place") == p, F.col("cosine"))).over(each)
     close = lambda hi, lo: F.coalesce(at(hi) - at(lo) <= 4 * F.max("bound").over(each), F.lit(False))
     unsure = (F.min(F.abs(F.col("cosine") - config.least) - F.col("bound")).over(each) <= 0) | close(config.k, config.k + 1) | close(config.k + 1, config.k + 2)
+    unsure &= F.max("bound").over(each) > 0
     ranked = written(ranked.withColumn("unsure", unsure).drop("place"), "neighbour-lists")
     open_ = written(ranked.where("unsure and a <> b").select("a", "b").distinct(), "neighbour-open")
     ends = written(open_.select(F.col("a").alias("id")).unionByName(open_.select(F.col("b").alias("id"))).distinct(), "neighbour-ends")
     vectors = written(join_counted(base, ends, "id").dropDuplicates(["id"]), "neighbour-vectors")
     exact = open_.join(vectors.select(F.col("id").alias("a"), F.col("vector").alias("u")), "a").join(vectors.select(F.col("id").alias("b"), F.col("vector").alias("v")), "b")
     exact = exact.select("a", "b", exact_cosine(F.col("u"), F.col("v")).alias("exact"))
-    value = F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.coalesce("exact", F.col("cosine").cast("double")))
+    value = F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.coalesce("exact", "cosine"))
     final = ranked.join(exact, ["a", "b"], "left").select("a", "other", value.alias("cosine")).where(F.col("cosine") >= config.least)
     final = final.withColumn("place", F.row_number().over(each.orderBy(F.desc("cosine"), "other"))).where(F.col("place") <= config.k + 1)
     alone = final.select("a", F.col("a").alias("id"), "other", "cosine", "place")

@@ -183,6 +183,24 @@ def test_neighbours_against_brute_force(spark, config):
     assert neighbours.nearest(df.limit(0), "face_id", "e", config).count() == 0
 
 
+@pytest.mark.parametrize("config", [neighbours.NeighbourConfig(), neighbours.NeighbourConfig(exact_up_to=50, sample=400)])
+def test_neighbours_among_near_copies(spark, config, monkeypatch):
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(2, 64))
+    near = np.concatenate([centre[:1] + 2e-3 * rng.normal(size=(60, 64)), centre[1:] + 3e-4 * rng.normal(size=(200, 64))])
+    x = np.concatenate([near, cloud(rng, 300, 0.25)]).astype(np.float32)
+    x = np.concatenate([x, x[:3]])  # equal vectors among the near ones
+    monkeypatch.setattr(vectors, "BLOCK", 100)
+    monkeypatch.setattr(vectors.blocked_cells, "__defaults__", (100,))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows + rows[::2], "face_id long, e array<float>")
+    got = {(r.a, r.b) for r in neighbours.nearest(df, "face_id", "e", config).collect() if r.a < 260}
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    s = np.round(u @ u.T, 14)
+    want = {(i, int(j)) for i in range(260) for j in [j for j in np.lexsort((np.arange(len(x)), -s[i])) if j != i and s[i, j] >= 0.85][:5]}
+    assert got == want
+
+
 @pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(whole_label=20)])
 @pytest.mark.parametrize("ingests", [1, 3])
 def test_history_is_greedy(spark, config, ingests):
