@@ -223,6 +223,15 @@ def test_history_is_greedy(spark, config, ingests):
     assert history.replay(df.limit(0), refs).count() == 0
 
 
+def test_a_chain_longer_than_the_rounds_is_settled(spark):
+    frames = [[float(i <= d < i + 13) for d in range(64)] for i in range(50)]  # each is at 0.923 to the next one only
+    rows = [(i, "a", 1, None, v) for i, v in enumerate(frames)] + [(100 + i, "b", 1, f"m{i // 2}", v) for i, v in enumerate(frames[:30])] + [(200, "b", 1, "m3", None)]
+    df = spark.createDataFrame(rows, "seq long, label string, batch_no int, md5 string, embedding array<float>")
+    refs = spark.createDataFrame([], "label string, ref array<float>")
+    got = sorted(r.seq for r in history.replay(df, refs, config=history.HistoryConfig(rounds=2)).collect())
+    assert got == list(range(1, 50, 2)) + list(range(101, 130, 2)) + [200]
+
+
 # -- problems 7 and 8
 
 ODD = ["", " ", "a", "'s 's's 'll 'LL  x\n\n y  \n", "it's  they'll", "''s", "<|endoftext|>", "'re've", " -'s", "\t's", "x" * 3000, " " * 2000, "abcdef" * 700, "\r\n\r\n  a\x00b\x1c c", "é " + chr(0x4E00) * 3 + chr(0x1F600) + chr(0xFEFF) + chr(0x200B) + " 1" + chr(0x2160) + chr(0xB2)]
