@@ -6,8 +6,11 @@ synchronous best fit over those runs, largest size first: one round matches
 all texts of one size by a successor sweep over the gaps, smallest fitting gap
 first; the texts' ranks within their size resolve who gets which gap; what
 fits nowhere opens containers; then the gaps are updated and the next size
-follows.  Rounds and runs are bounded by the capacity, however many texts
-there are.  Ranks come from a range-partitioned sort over all texts, and each
+follows.  This matching (``best_fit``) is one sequential loop on the driver over
+the counts of each size; ranking before it and placing after it are distributed.
+With S distinct sizes (at most the capacity) there are at most 3 S runs of gaps
+and 1.5 S**2 rows in the plan, never more than pieces, however many texts there
+are; the plan travels with the tasks.  Ranks come from a range-partitioned sort over all texts, and each
 text finds its container by its own rank.
 """
 
