@@ -7,7 +7,7 @@ range-partitioned sort with partition offsets gives the number of documents up
 to each value.  The empirical tail probabilities add up, as negative
 logarithms, to outlier scores; ``junk`` takes of each statistic the tail in
 which lists, tables and debris lie.  Prose is what stands in full sentences by
-more than half of its words and is no extreme outlier towards junk.
+more than half of its words; the scores depend on the corpus and decide nothing.
 """
 
 from __future__ import annotations
@@ -46,7 +46,6 @@ class ProseConfig:
     sentence_words: int = 4
     common_share: float = 0.25  # of a sentence's words
     worded_share: float = 0.75  # of a line's or sentence's tokens made of letters
-    most_junk: float = 30.0  # four tails of e**-7.5 each
 
 
 _BOM = chr(0xFEFF)
@@ -196,5 +195,4 @@ def prose_scores(df: DataFrame, id_: str, text: str, config: ProseConfig = Prose
     """Statistics, scores and the verdict ``prose`` of every document; rows without an id are left out."""
     stats = written(text_statistics(df.where(F.col(id_).isNotNull()), id_, text, config), "text-statistics")
     scores = tail_scores(stats, "doc_id", "language", STATISTICS, JUNK_TAIL)
-    prose = (F.col("sentence_words") > config.least_share) & (F.col("junk") <= config.most_junk)
-    return stats.join(scores, "doc_id").withColumn("prose", prose)
+    return stats.join(scores, "doc_id").withColumn("prose", F.col("sentence_words") > config.least_share)

@@ -330,3 +330,12 @@ def test_scores_with_nulls_ties_and_repeats(spark):
     rows = {r.doc_id: r for r in prose.prose_scores(df, "doc_id", "text").collect()}
     assert set(rows) == {1, 2, 3, 4} and rows[3].outlier == rows[4].outlier == 0 and rows[3].prose and not rows[1].prose
     assert prose.prose_scores(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_the_verdict_does_not_depend_on_the_size_of_the_corpus(spark):
+    odd = PROSE + "\n{ alpha }\n[ beta ]\n( gamma )\n< delta >"
+    share = prose.statistics(odd)[6]
+    assert share > 0.5
+    rows = [(0, odd), *((i, PROSE) for i in range(1, 3000))]
+    got = {r.doc_id: r for r in prose.prose_scores(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect()}
+    assert got[0].junk > 30 and got[0].prose and got[1].prose
