@@ -232,6 +232,19 @@ def test_a_chain_longer_than_the_rounds_is_settled(spark):
     assert got == list(range(1, 50, 2)) + list(range(101, 130, 2)) + [200]
 
 
+def test_each_batch_is_ingested_on_its_own(spark, monkeypatch):
+    met = []
+
+    def ingest(self, signed, vectors):
+        met.append(sorted(r.seq for r in signed.collect()))
+        return spark.createDataFrame([], "seq long")
+
+    monkeypatch.setattr(history.History, "ingest", ingest)
+    df = spark.createDataFrame([(i, "a", i % 5, f"m{i}", None) for i in range(10)], "seq long, label string, batch_no int, md5 string, embedding array<float>")
+    assert history.replay(df, spark.createDataFrame([], "label string, ref array<float>")).count() == 0
+    assert met == [[i, i + 5] for i in range(5)]
+
+
 # -- problems 7 and 8
 
 ODD = ["", " ", "a", "'s 's's 'll 'LL  x\n\n y  \n", "it's  they'll", "''s", "<|endoftext|>", "'re've", " -'s", "\t's", "x" * 3000, " " * 2000, "abcdef" * 700, "\r\n\r\n  a\x00b\x1c c", "é " + chr(0x4E00) * 3 + chr(0x1F600) + chr(0xFEFF) + chr(0x200B) + " 1" + chr(0x2160) + chr(0xB2)]
