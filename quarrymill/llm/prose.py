@@ -1,17 +1,23 @@
 """Problem 9: text statistics of each document, outlier scores, natural prose.
 
-The statistics of a document are computed from its whole text.  Each one is
-ranked exactly within the documents of one language (told by the text's common
-words, not by a column): equal values are counted together first, then one
-range-partitioned sort with partition offsets gives the number of documents up
-to each value.  The empirical tail probabilities add up, as negative
-logarithms, to outlier scores; ``junk`` takes of each statistic the tail in
-which lists, tables and debris lie.  Prose is what stands in full sentences by
-more than half of its words; the scores depend on the corpus and decide nothing.
+The statistics of a document are computed from its whole text.  Those written
+in sentences by more than half of their words (told by capitals, stops and
+words of letters, in any language) are the reference of their language, which
+is told by the text's own common words, not by a column.  Every value of every
+document is ranked exactly among its language's reference values: equal values
+are counted together first, then one range-partitioned sort with partition
+offsets gives the number of reference values up to each value.  A text of a
+language not told is ranked among the references of all languages.  The
+empirical tail probabilities add up, as negative logarithms, to outlier scores;
+``junk`` takes of some statistics the tail in which code, tables and made-up
+words lie.  Its limit is the score that only a fixed share of the reference
+documents exceeds, at every size of the corpus.  Prose is what stays within the
+limit and, checked exactly, stands in sentences by more than half of its words.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -24,7 +30,7 @@ from pyspark.sql import functions as F
 from .ranking import positions
 from .scratch import written
 
-# Common words of four languages.
+# Choices of this module: common words of four languages.
 COMMON_WORDS = {
     "en": "a about after again all along also an and any are as at be because been before but by can could do does each for from had has have he her his how i if in into is it its more most much no not of on one only or other our out own rather same she should so some still such than that the their them then there these they this those to up us was we were what when where which while who why will with without would you your",
     "de": "aber alle als am an auch auf aus bei bis bitte das dass dem den der des die dies diese dieser doch durch ein eine einem einen einer er es für haben hat ich ihr im in ist jede jetzt kann kein keine man manchmal mehr mit muss nach nicht noch nur ob oder ohne sehr sein sich sie sind so uns und um unter vom von vor war warum was weil wenn wer wie wir wird wurde zu zum zur über",
@@ -36,16 +42,17 @@ _COMMON = {k: frozenset(v.split()) for k, v in COMMON_WORDS.items()}
 _ANY = {w: tuple(k for k in LANGUAGES if w in _COMMON[k]) for k in LANGUAGES for w in _COMMON[k]}
 
 STATISTICS = ("word_count", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words", "sentence_words")
-# The tail of each statistic in which junk lies; no tail for the two sizes, which count on both sides only.
-JUNK_TAIL = {"symbol_ratio": "right", "punctuated_lines": "left", "common_words": "left", "sentence_words": "left"}
+# Choices of this module: the tails that add up to ``junk``; the other statistics count in the other scores only.
+JUNK_TAIL = {"mean_word_length": "right", "symbol_ratio": "right", "common_words": "left"}
+UNKNOWN = "none"
 
 
 @dataclass(frozen=True)
 class ProseConfig:
     least_share: float = 0.5
     sentence_words: int = 4
-    common_share: float = 0.25  # of a sentence's words
     worded_share: float = 0.75  # of a line's or sentence's tokens made of letters
+    outlier_share: float = 0.002  # of the reference documents that may lie beyond the limit
 
 
 _BOM = chr(0xFEFF)
@@ -62,7 +69,7 @@ _ENDS_LINE = tuple(".!?…:;,")
 class _Token:
     """What the statistics need of one whitespace-divided token."""
 
-    __slots__ = ("common", "hits", "length", "letters", "upper", "word", "worded")
+    __slots__ = ("common", "length", "letters", "upper", "word", "worded")
 
     def __init__(self, token: str):
         bare = token.strip(_STRIP)
@@ -72,7 +79,6 @@ class _Token:
         self.worded = _WORD.match(token) is not None
         self.upper = bare[:1].isupper()
         self.common = _ANY.get(bare.lower(), ())
-        self.hits = self.common or tuple(k for part in _APOSTROPHE.split(bare.lower()) for k in _ANY.get(part, ()))
 
 
 class _Tokens(dict):
@@ -85,17 +91,15 @@ class _Tokens(dict):
         return made
 
 
-_APOSTROPHE = re.compile("['’]")
 _SEEN = _Tokens()
 
 
 def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
-    """Share of the words that stand in full sentences.
+    """Share of the words that stand in full sentences, whatever the language.
 
     A full sentence begins with a capital, ends with a stop, and consists of
-    words of letters, enough of them common ones of one language.  Lines are
-    joined until a blank one or one that isn't made of words; tags and signs
-    that lead a line are no words.
+    words of letters.  Lines are joined until a blank one or one that isn't made
+    of words; tags and signs that lead a line are no words.
     """
     found, total, block = 0, 0, []
 
@@ -108,9 +112,7 @@ def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
             n = len(tokens)
             if n < config.sentence_words or not tokens[0].upper or sum(t.worded for t in tokens) < config.worded_share * n:
                 continue
-            hits = [k for t in tokens for k in t.hits]
-            if hits and max(map(hits.count, set(hits))) >= max(2, config.common_share * n):
-                found += n
+            found += n
         block.clear()
 
     for line in _LINE.split(text):
@@ -129,22 +131,21 @@ def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
 
 
 def statistics(text: str | None, config: ProseConfig = ProseConfig()) -> tuple:
-    """Language and the six statistics; a null, empty or blank text has no words and zeros, in language ``none``."""
+    """Language and the six statistics; a null, empty or blank text has no words and zeros, in the language ``none``."""
     text = text or ""
     tokens = [_SEEN[t] for t in text.split()]
     words = [t for t in tokens if t.letters]
     n, visible = len(words), sum(t.length for t in tokens)
     symbols = 1 - sum(t.letters for t in tokens) / visible if visible else 0.0
     if not n:
-        return ("none", 0, 0.0, symbols, 0.0, 0.0, 0.0)
+        return (UNKNOWN, 0, 0.0, symbols, 0.0, 0.0, 0.0)
     hits = Counter(k for t in words for k in t.common)
-    language, most = min(hits.items(), key=lambda x: (-x[1], LANGUAGES.index(x[0])), default=("none", 0))
+    language, most = min(hits.items(), key=lambda x: (-x[1], LANGUAGES.index(x[0])), default=(UNKNOWN, 0))
     if most < max(2, 0.05 * n):
-        language = "none"
+        language = UNKNOWN
     lines = [s for line in _LINE.split(text) if (s := line.rstrip())]
     ended = sum(1 for s in lines if s.endswith(_ENDS_LINE)) / len(lines)
-    share = sentence_share(text, config) if language != "none" else 0.0
-    return (language, n, sum(t.length for t in words) / n, symbols, ended, most / n, share)
+    return (language, n, sum(t.length for t in words) / n, symbols, ended, most / n, sentence_share(text, config))
 
 
 _STATS = "doc_id long, language string, word_count double, mean_word_length double, symbol_ratio double, punctuated_lines double, common_words double, sentence_words double"
@@ -167,32 +168,55 @@ def text_statistics(df: DataFrame, id_: str, text: str, config: ProseConfig = Pr
     return df.select(F.col(id_).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_measure(config), _STATS)
 
 
-def tail_scores(stats: DataFrame, id_: str, group: str, columns: tuple[str, ...], junk: dict[str, str]) -> DataFrame:
-    """``(id, left_score, right_score, outlier, junk)`` from exact ranks within each ``group``.
+def tail_scores(stats: DataFrame, id_: str, group: str, columns: tuple[str, ...], junk: dict[str, str], reference: str, unknown: str = UNKNOWN) -> DataFrame:
+    """``(id, left_score, right_score, outlier, junk)`` from exact ranks among the reference rows of each ``group``.
 
-    left: share of the group's rows with a value up to this one; right: from
-    this one on.  Equal values have equal tails.  Scores are sums of negative
-    logarithms; a null or NaN value adds nothing.  Repeated ids add up, so ids
-    should be unique.
+    ``reference`` names a boolean column.  left: (1 + reference values up to
+    this one) / (1 + all of them); right: the same from this one on.  Rows of
+    the group ``unknown`` are ranked among the references of all groups.  Scores
+    are sums of negative logarithms; a null or NaN value adds nothing, nor does
+    a group without references.  Repeated ids add up, so ids should be unique.
     """
     named = F.explode(F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns)))
-    tall = stats.select(F.col(id_).alias("id"), F.col(group).alias("group"), named.alias("s")).select("id", F.concat_ws("/", "s.name", "group").alias("class"), "s.name", F.col("s.value").alias("value"))
+    every = F.lit("*")
+    own = F.when(F.col(group) == unknown, every).otherwise(F.concat(F.lit("="), F.col(group)))
+    tall = stats.select(F.col(id_).alias("id"), own.alias("own"), F.coalesce(reference, F.lit(False)).alias("ref"), named.alias("s")).select("id", "own", "ref", "s.name", F.col("s.value").alias("value"))
     tall = tall.where(F.col("value").isNotNull() & ~F.isnan("value"))
-    counts = tall.groupBy("class", "value").agg(F.count(F.lit(1)).alias("many"))
+    # a reference row counts in its own group and in the one of all groups
+    placed = tall.select("name", "value", F.explode(F.when(F.col("ref"), F.array_distinct(F.array("own", every))).otherwise(F.array("own"))).alias("own"), F.col("ref").cast("long").alias("many"))
+    counts = placed.groupBy(F.concat_ws("/", "name", "own").alias("class"), "value").agg(F.sum("many").alias("many"))
     upto = written(positions(counts, "class", ["value"], ["value", "many"], weight="many"), "tail-ranks")
-    total = upto.groupBy("class").agg(F.max("position").alias("total"))  # a row for each statistic and language
+    total = upto.groupBy("class").agg((F.max("position") + 1).alias("total"))  # a row for each statistic and language
     tails = upto.join(total, "class").select(
-        "class", "value", (-F.log(F.col("position") / F.col("total"))).alias("l"), (-F.log((F.col("total") - F.col("position") + F.col("many")) / F.col("total"))).alias("r")
+        "class", "value", (-F.log((F.col("position") + 1) / F.col("total"))).alias("l"), (-F.log((F.col("total") - F.col("position") + F.col("many")) / F.col("total"))).alias("r")
     )
     side = F.lit(0.0)
     for name, tail in junk.items():
         side = F.when(F.col("name") == name, F.col("l" if tail == "left" else "r")).otherwise(side)
-    scored = tall.join(tails, ["class", "value"]).groupBy("id").agg(F.sum("l").alias("left_score"), F.sum("r").alias("right_score"), F.sum(F.greatest("l", "r")).alias("outlier"), F.sum(side).alias("junk"))
+    met = tall.select("id", "name", "value", F.concat_ws("/", "name", "own").alias("class")).join(tails, ["class", "value"])
+    scored = met.groupBy("id").agg(F.sum("l").alias("left_score"), F.sum("r").alias("right_score"), F.sum(F.greatest("l", "r")).alias("outlier"), F.sum(side).alias("junk"))
     return scored.withColumnRenamed("id", id_)
 
 
+def junk_limit(scored: DataFrame, share: float) -> float:
+    """The least ``junk`` of ``scored(doc_id, junk)`` that no more than ``share`` of the rows exceed; infinite for no rows."""
+    ranked = written(positions(scored.select("doc_id", "junk", F.lit(0).alias("all")), "all", ["junk", "doc_id"], ["junk"]), "junk-ranks")
+    n = ranked.count()
+    found = ranked.where(F.col("position") >= math.ceil((1 - share) * n)).agg(F.min("junk")).first()[0]
+    return math.inf if found is None else found
+
+
 def prose_scores(df: DataFrame, id_: str, text: str, config: ProseConfig = ProseConfig()) -> DataFrame:
-    """Statistics, scores and the verdict ``prose`` of every document; rows without an id are left out."""
-    stats = written(text_statistics(df.where(F.col(id_).isNotNull()), id_, text, config), "text-statistics")
-    scores = tail_scores(stats, "doc_id", "language", STATISTICS, JUNK_TAIL)
-    return stats.join(scores, "doc_id").withColumn("prose", F.col("sentence_words") > config.least_share)
+    """Statistics, scores and the verdict ``prose`` of every document.
+
+    Rows without an id are left out; of rows with one id, one counts.  Null,
+    empty and blank texts have no words and are no prose.  Other columns of
+    ``df`` don't matter, whatever their names.
+    """
+    stats = text_statistics(df.where(F.col(id_).isNotNull()), id_, text, config).dropDuplicates(["doc_id"])
+    stats = written(stats.withColumn("reference", (F.col("sentence_words") > config.least_share) & (F.col("language") != UNKNOWN)), "text-statistics")
+    scores = tail_scores(stats, "doc_id", "language", STATISTICS, JUNK_TAIL, "reference")
+    scored = written(stats.join(scores, "doc_id"), "text-scores")
+    limit = junk_limit(scored.where("reference"), config.outlier_share)
+    prose = (F.col("junk") <= limit) & (F.col("sentence_words") > config.least_share)
+    return scored.drop("reference").withColumn("prose", prose)
