@@ -2,8 +2,8 @@
 
 Lineage is cut by writing Parquet below the folder the cluster names in
 ``spark.checkpoint.dir``: every executor can read it again after another one
-was lost.  Only where that setting is absent (tests, a laptop) a temporary
-folder of this machine is used.
+was lost.  Only where that setting is absent and the master is local (tests, a
+laptop) a temporary folder of this machine is used.
 """
 
 from __future__ import annotations
@@ -11,10 +11,12 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[str] = []
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -22,6 +24,8 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="quarrymill-"))
     return "file://" + _LOCAL[0]
@@ -38,7 +42,9 @@ def written(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
     schema = df.schema
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    table = spark.read.schema(schema).parquet(path)
+    _PATHS[table] = path
+    return table
 
 
 def partitions_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
@@ -47,9 +53,13 @@ def partitions_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     return max(least, math.ceil(rows / rows_per_task))
 
 
-def drop_scratch(spark: SparkSession, df: DataFrame) -> None:
-    """Delete the files of a table made by :func:`written` once nothing reads it any more."""
-    jvm = spark._jvm
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(file)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def drop_scratch(spark: SparkSession, *tables: DataFrame) -> None:
+    """Delete the folders of tables made by :func:`written` once nothing reads them any more."""
+    for table in tables:
+        if path := _PATHS.pop(table, None):
+            drop_path(spark, path)

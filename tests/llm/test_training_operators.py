@@ -3,6 +3,7 @@
 import base64
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -201,9 +202,8 @@ def test_neighbours_among_near_copies(spark, config, monkeypatch):
     assert got == want
 
 
-@pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(whole_label=20)])
-@pytest.mark.parametrize("ingests", [1, 3])
-def test_history_is_greedy(spark, config, ingests):
+@pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(hot=3, broadcast_rows=0, settle_rows=2, buckets=3)])
+def test_history_is_greedy(spark, config):
     rng = np.random.default_rng(4)
     x = cloud(rng, 90, 0.2)
     x = np.concatenate([x, x[:5]])
@@ -218,33 +218,54 @@ def test_history_is_greedy(spark, config, ingests):
             want.add(s)
         else:
             kept.append((label, md5, v))
-    got = [r.seq for r in history.replay(df, refs, ingests, config).collect()]
+    got = [r.seq for r in history.replay(df, refs, config).collect()]
     assert sorted(got) == sorted(want)
     assert history.replay(df.limit(0), refs).count() == 0
 
 
-def test_a_chain_longer_than_the_rounds_is_settled(spark):
+@pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(settle_rows=10, hot=10)])
+def test_a_long_chain_is_settled(spark, config):
     frames = [[float(i <= d < i + 13) for d in range(64)] for i in range(50)]  # each is at 0.923 to the next one only
     rows = [(i, "a", 1, None, v) for i, v in enumerate(frames)] + [(100 + i, "b", 1, f"m{i // 2}", v) for i, v in enumerate(frames[:30])] + [(200, "b", 1, "m3", None)]
+    rows += [(300 + i, "b", 1, None, frames[40]) for i in range(9)] + [(400 + i, "c", 1, "m", [1.0] * 63 + [float(i)]) for i in range(-40, 40)]  # copies of one vector; of one md5
     df = spark.createDataFrame(rows, "seq long, label string, batch_no int, md5 string, embedding array<float>")
     refs = spark.createDataFrame([], "label string, ref array<float>")
-    got = sorted(r.seq for r in history.replay(df, refs, config=history.HistoryConfig(rounds=2)).collect())
-    assert got == list(range(1, 50, 2)) + list(range(101, 130, 2)) + [200]
+    got = sorted(r.seq for r in history.replay(df, refs, config).collect())
+    store = history.History(spark, refs, config=config)
+    again = [r.ord & ((1 << history.SEQ_BITS) - 1) for r in store.ingest(history.arrivals(df).drop("batch")).collect()]
+    assert sorted(again) == got and store.ingest(history.arrivals(df.limit(0)).drop("batch")).count() == 0
+    assert got == list(range(1, 50, 2)) + list(range(101, 130, 2)) + [200] + list(range(301, 309)) + list(range(361, 440))
 
 
 def test_each_batch_is_ingested_on_its_own(spark, monkeypatch):
     met = []
 
-    def ingest(self, signed, vectors):
-        met.append(sorted(r.seq for r in signed.collect()))
-        return spark.createDataFrame([], "seq long")
+    def settle(self, batch):
+        met.append(sorted(r.ord & ((1 << history.SEQ_BITS) - 1) for r in batch.collect()))
 
-    monkeypatch.setattr(history.History, "ingest", ingest)
+    monkeypatch.setattr(history.History, "settle", settle)
     df = spark.createDataFrame([(i, "a", i % 5, f"m{i}", None) for i in range(10)], "seq long, label string, batch_no int, md5 string, embedding array<float>")
-    assert history.replay(df, spark.createDataFrame([], "label string, ref array<float>")).count() == 0
+    history.replay(df, spark.createDataFrame([], "label string, ref array<float>"))
     assert met == [[i, i + 5] for i in range(5)]
 
 
+def test_band_keys_select(spark):
+    """Pairs at a cosine of 0.92 share a key; less than one in a hundred of unrelated pairs do."""
+    config = history.HistoryConfig()
+    rng = np.random.default_rng(9)
+    x = vectors.unit(rng.normal(size=(4000, 64)))
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.92 * x + np.sqrt(1 - 0.92**2) * vectors.unit(z)
+    batch = lambda rows: pa.RecordBatch.from_pylist([{"ord": i, "label": "a", "md5": None, "vector": v, "ref": None} for i, v in enumerate(rows.tolist())], pa.schema([("ord", pa.int64()), ("label", pa.string()), ("md5", pa.string()), ("vector", pa.list_(pa.float32())), ("ref", pa.list_(pa.float32()))]))
+    (a,), (b,) = (list(history._sign(config)([batch(rows)])) for rows in (x, y))
+    keys = [np.array(r.column("bands").to_pylist()) for r in (a, b)]
+    signs = [np.stack([r.column(s).to_numpy() for s in ("s1", "s2")], 1).view(np.uint64) for r in (a, b)]
+    differ = np.bitwise_count(signs[0] ^ signs[1]).sum(axis=1)
+    assert ((keys[0] == keys[1]).any(axis=1) & (differ <= config.sketch_bits)).mean() > 0.997
+    assert (keys[0] == np.roll(keys[1], 1, axis=0)).any(axis=1).mean() < 0.01
+
+
 # -- problems 7 and 8
 
 ODD = ["", " ", "a", "'s 's's 'll 'LL  x\n\n y  \n", "it's  they'll", "''s", "<|endoftext|>", "'re've", " -'s", "\t's", "x" * 3000, " " * 2000, "abcdef" * 700, "\r\n\r\n  a\x00b\x1c c", "é " + chr(0x4E00) * 3 + chr(0x1F600) + chr(0xFEFF) + chr(0x200B) + " 1" + chr(0x2160) + chr(0xB2)]
