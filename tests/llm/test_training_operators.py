@@ -223,7 +223,7 @@ def test_history_is_greedy(spark, config):
     assert history.replay(df.limit(0), refs).count() == 0
 
 
-@pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(settle_rows=10, hot=10)])
+@pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(settle_rows=10, hot=25)])
 def test_a_long_chain_is_settled(spark, config):
     frames = [[float(i <= d < i + 13) for d in range(64)] for i in range(50)]  # each is at 0.923 to the next one only
     rows = [(i, "a", 1, None, v) for i, v in enumerate(frames)] + [(100 + i, "b", 1, f"m{i // 2}", v) for i, v in enumerate(frames[:30])] + [(200, "b", 1, "m3", None)]
@@ -313,22 +313,39 @@ def test_packing_edges(spark):
     assert packing.pack(sizes.limit(0), caps).count() == 0
 
 
-def test_best_fit_is_best_fit_decreasing():
+def test_a_sweep_is_best_fit_decreasing():
     rng = np.random.default_rng(1)
     for _ in range(20):
         capacity = int(rng.integers(5, 60))
-        sizes = rng.integers(1, capacity + 1, 200).tolist()
-        counts = {int(s): sizes.count(s) for s in set(sizes)}
-        _, bins = packing.best_fit(capacity, counts)
+        sizes = sorted(rng.integers(1, capacity + 1, 200).tolist(), reverse=True)
+        found, rest = packing.sweep(sizes, [], capacity, 0, True)
         gaps = []
-        for s in sorted(sizes, reverse=True):
+        for s in sizes:
             fit = [g for g in gaps if g >= s]
             if fit:
                 gaps.remove(min(fit))
                 gaps.append(min(fit) - s)
             else:
                 gaps.append(capacity - s)
-        assert bins == len(gaps)
+        assert max(b for b, _ in found) + 1 == len(gaps) and sorted(g for g, _ in rest) == sorted(g for g in gaps if g)
+
+
+def test_packing_in_rounds_over_many_tasks_and_capacities(spark):
+    rng = np.random.default_rng(3)
+    tokens = np.r_[rng.integers(1, 400, 800), rng.integers(1, 3000, 100), [20_000_000] * 2, np.repeat(70, 300)]
+    sizes = spark.createDataFrame([(int(i), int(n)) for i, n in enumerate(tokens)], "id long, tokens long")
+    for capacities in ([1000], [10_000_000], list(range(3_000, 3_040))):
+        caps = spark.createDataFrame(list(enumerate(capacities)), "capacity_id int, capacity long")
+        some = sizes if capacities[0] > 5_000 else sizes.where("tokens < 10000")
+        rows = packing.pack(some, caps, items_a_task=64).toPandas()
+        assert not rows.duplicated(["capacity_id", "doc_id", "piece"]).any()
+        for i, capacity in enumerate(capacities):
+            own = rows[rows.capacity_id == i].sort_values(["bin", "offset"])
+            total = sum(t for t in tokens.tolist() if capacities[0] > 5_000 or t < 10_000)
+            assert own["size"].sum() == total and set(own.bin) == set(range(own.bin.max() + 1))
+            ends = own.groupby("bin")["size"].cumsum()
+            assert (ends - own["size"] == own.offset).all() and ends.max() <= capacity
+            assert own.bin.max() + 1 <= total / capacity * 1.01 + 2
 
 
 # -- problem 9
