@@ -100,7 +100,8 @@ def near_prints(prints: DataFrame, hot_half: int = HOT_HALF) -> DataFrame:
     key = F.xxhash64("grp", "no", "variant")
     plain = halves.select("grp", "fp", "no", "other", F.explode(_variants(F.col("own"), 32)).alias("variant")).select(key.alias("key"), "fp", "no", "other")
     sizes = written(halves.groupBy("grp", "no", "own").count().where(F.col("count") > hot_half), "balls-hot")
-    rows = prints.count() * 66
+    # each row of a hot half, and of the halves next to it, may emit 34 more keys
+    rows = prints.count() * 66 + 34 * 33 * (sizes.agg(F.sum("count")).first()[0] or 0)
     if sizes.isEmpty():
         emitted = plain.select("key", "fp")
     else:

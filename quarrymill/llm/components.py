@@ -27,14 +27,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u > v").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``edges(u long, v long)`` -> ``(id, group)`` for every node of an edge; ``group`` is the least id of its component.
 
-    Self-loops and repeated edges don't matter; no edges, no rows.
+    Self-loops and repeated edges don't matter; no edges, no rows.  The rounds
+    end when nothing changes, after about the square of the logarithm of the nodes.
     """
     now = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct(), "edges")
     mark = None
-    for _ in range(rounds):
+    while True:
         after = written(_star(_star(now, True), False), "edges")
         total = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         drop_scratch(now.sparkSession, now)
@@ -42,7 +43,5 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if total == mark:
             break
         mark = total
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
     leaves = now.select(F.col("u").alias("id"), F.col("v").alias("group"))
     return leaves.unionByName(now.select(F.col("v").alias("id"), F.col("v").alias("group")).distinct())

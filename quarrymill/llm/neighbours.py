@@ -40,29 +40,51 @@ class NeighbourConfig:
     k: int = 5
     least: float = 0.85
     tables: int = 6  # independent coarse partitions
-    exact_up_to: int = 4096  # so few vectors are one cell
+    rows_per_cell: int = 1024  # on average; the number of cells grows with the vectors
     sample: int = 20_000  # vectors, on average, that the cells' centres are fitted on; every vector is indexed
-    most_cells: int = 2048
+    most_centres: int = 2048  # of a level; where more cells are needed, each is divided by the centres of a second level
     heap: int = 16  # candidates of a vector that the codes may leave; with more, the original vectors decide
     dims: int = 64
 
 
-def fit_centres(rows: np.ndarray, cells: int, tables: int, rounds: int = 4) -> list[np.ndarray]:
-    """Spherical k-means with another random start for each table."""
+def _nearest(rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    half = (centres * centres).sum(axis=1) / 2
+    return np.concatenate([np.zeros(0, np.int64), *((rows[i : i + 4096] @ centres.T - half).argmax(axis=1) for i in range(0, len(rows), 4096))])
+
+
+def fit_centres(rows: np.ndarray, cells: int, seed: int, rounds: int = 4) -> np.ndarray:
+    """k-means from a random start."""
+    centres = rows[np.random.default_rng(seed).choice(len(rows), min(cells, len(rows)), replace=False)]
+    for _ in range(rounds):
+        own = _nearest(rows, centres)
+        total = np.zeros_like(centres)
+        np.add.at(total, own, rows)
+        many = np.bincount(own, minlength=len(centres))[:, None]
+        centres = np.where(many > 0, total / np.maximum(many, 1), centres).astype(np.float32)
+    return centres
+
+
+def fit_tables(rows: np.ndarray, cells: int, config: NeighbourConfig) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Centres of each table, and those of the differences to them: a cell is a pair of both."""
+    first = min(cells, config.most_centres)
+    second = min(math.ceil(cells / first), config.most_centres)
     out = []
-    for table in range(tables):
-        rng = np.random.default_rng(table)
-        centres = rows[rng.choice(len(rows), min(cells, len(rows)), replace=False)]
-        for _ in range(rounds):
-            own = np.concatenate([(rows[i : i + 4096] @ centres.T).argmax(axis=1) for i in range(0, len(rows), 4096)])
-            total = np.zeros_like(centres)
-            np.add.at(total, own, rows)
-            length = np.sqrt((total * total).sum(axis=1, keepdims=True))
-            centres = np.where(length > 0, total / np.maximum(length, 1e-9), centres).astype(np.float32)
-        out.append(centres)
+    for table in range(config.tables):
+        coarse = fit_centres(rows, first, table)
+        out.append((coarse, fit_centres(rows - coarse[_nearest(rows, coarse)], second, table) if second > 1 else np.zeros((1, rows.shape[1]), np.float32)))
     return out
 
 
+def cells_of(rows: np.ndarray, tables: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """A cell of each table for every row."""
+    found = []
+    for t, (coarse, fine) in enumerate(tables):
+        own = _nearest(rows, coarse)
+        inner = _nearest(rows - coarse[own], fine) if len(fine) > 1 else 0
+        found.append((t << 48) + (own << 24) + inner)
+    return np.stack(found, axis=1)
+
+
 def _heaps(q: np.ndarray, o: np.ndarray, cosine: np.ndarray, bound: np.ndarray, need: int, heap: int):
     """What may be among the ``need`` nearest of each q, and the q's that have more than ``heap`` of it, which keep nothing.
 
@@ -120,7 +142,7 @@ def _tiles(config: NeighbourConfig):
                     r, c = r_all[at : at + _PAIRS], c_all[at : at + _PAIRS]
                     some = ~(full[r] & full[c])
                     r, c = r[some], c[some]
-                    value = np.einsum("ij,ij->i", fine[r], fine[c])
+                    value = np.einsum("ij,ij->i", fine[r].astype(np.float64), fine[c].astype(np.float64))
                     error = err[r] * (1 + err[c]) + err[c] + np.float32(SLACK)
                     some = value + error >= config.least
                     r, c, value, error = r[some], c[some], value[some], error[some]
@@ -216,17 +238,17 @@ def nearest(df: DataFrame, id_: str, vector: str, config: NeighbourConfig = Neig
     reps = join_counted(base, again, "id", "left_anti")
 
     n = base.count()
-    cells = 1 if n <= config.exact_up_to else min(config.most_cells, max(1, round(0.66 * math.sqrt(n))))
-    tables = 1 if cells == 1 else config.tables
-    if n and cells > 1:
+    cells = math.ceil(n / config.rows_per_cell)
+    tables = config.tables if cells > 1 else 1  # all would be the same
+    if cells > 1:
         # by the ids' hashes, so the same rows each time; their number is the sample's, give or take its root
         share = min(1 << 30, math.ceil((1 << 30) * config.sample / n))
         sample = base.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).select("id", "vector").orderBy("id").select("vector").toArrow()
-        centres = fit_centres(unit(stacked(sample["vector"].combine_chunks())).astype(np.float32), cells, tables)
-        shared = spark.sparkContext.broadcast(centres)
+        # at most 2 x most_centres vectors a table, whatever the number of vectors
+        shared = spark.sparkContext.broadcast(fit_tables(unit(stacked(sample["vector"].combine_chunks())).astype(np.float32), cells, config))
 
         def home(rows: np.ndarray, _: pa.RecordBatch) -> dict[str, pa.Array]:
-            own = np.stack([(rows.astype(np.float32) @ c.T).argmax(axis=1) + (t << 32) for t, c in enumerate(shared.value)], axis=1)
+            own = cells_of(rows.astype(np.float32), shared.value)
             ends = np.arange(0, own.size + 1, own.shape[1], dtype=np.int32)
             return {"cells": pa.ListArray.from_arrays(pa.array(ends), pa.array(own.ravel()))}
 

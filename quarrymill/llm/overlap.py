@@ -6,8 +6,9 @@ shingles.  With the shingles of each print in one global order, rarest first,
 the prefix filter for an overlap of three with two prefix matches holds: the
 first two shared shingles lie among the first seven of either print.  Pairs of
 prefix shingles are the index keys; where both shingles of a key are very
-frequent, the third shared one joins the key.  What meets passes the length
-filter (numbers of set bits differ by at most 5) and is verified.
+frequent, the third shared one joins the key.  Evaluation prefixes are indexed
+first; training keys that no evaluation print has don't travel.  What meets
+passes the length filter (numbers of set bits differ by at most 5) and is verified.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,43 +27,84 @@ from .scratch import partitions_for, written
 
 RADIUS, SHINGLES, SHARED = 5, 8, 3
 PREFIX = SHINGLES - SHARED + 2
-_KEYS = "key long, fp long, side byte"
+_KEYS = "key int, fp long, side byte"
 _BLOCK = 1 << 21
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_CHUNK = 32768  # bits of one value of bitmap_or_agg
+_PAIR_SLOTS, _TRIPLE_SLOTS = 28 << 16, 1 << 25  # of the evaluation keys' bitmap: one for each pair key, hashed for the others
 
 
-def _hashed(*parts: np.ndarray) -> np.ndarray:
-    h = np.zeros(len(parts[0]), np.uint64)
-    with np.errstate(over="ignore"):
-        for p in parts:
-            h = (h ^ p.astype(np.uint64)) * _MIX
-            h ^= h >> np.uint64(31)
-    return h.view(np.int64)
+def _numbered(size: int) -> np.ndarray:
+    """A number for each set of ``size`` of the eight positions, at its ascending members."""
+    table = np.zeros((8,) * size, np.int64)
+    for n, places in enumerate(combinations(range(8), size)):
+        table[places] = n
+    return table
 
 
-def _index_keys(rank: np.ndarray, hot: np.ndarray):
-    """rank: rarity order of the 2,048 shingles; hot: which of them are very frequent."""
+_PAIR, _TRIPLE = _numbered(2), _numbered(3)
+
+
+def _key(tokens: np.ndarray) -> np.ndarray:
+    """Rows of two or three shingles as one number each, the same for the same set of shingles only."""
+    tokens = np.sort(tokens, axis=1)  # by position
+    place, value = tokens >> 8, tokens & 255
+    if tokens.shape[1] == 2:
+        return _PAIR[place[:, 0], place[:, 1]] << 16 | value[:, 0] << 8 | value[:, 1]
+    return 1 << 30 | _TRIPLE[place[:, 0], place[:, 1], place[:, 2]] << 24 | value[:, 0] << 16 | value[:, 1] << 8 | value[:, 2]
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    mixed = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(39)  # 25 bits
+    return np.where(key >> 30 == 1, mixed.astype(np.int64) + _PAIR_SLOTS, key)
+
+
+def _keys_of(fp: np.ndarray, rank: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix keys and the row each belongs to.  rank: rarity order of the 2,048 shingles; hot: which are very frequent."""
+    token = fp.view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(8) * 256
+    token = np.take_along_axis(token, np.argsort(rank[token], axis=1), axis=1)
+    keys, rows = [], []
+    for i, j in combinations(range(PREFIX), 2):
+        deep = hot[token[:, i]] & hot[token[:, j]]
+        at = np.flatnonzero(~deep)
+        keys.append(_key(token[at][:, [i, j]]))
+        rows.append(at)
+        at = np.flatnonzero(deep)
+        for k in range(j + 1, SHINGLES) if len(at) else ():
+            keys.append(_key(token[at][:, [i, j, k]]))
+            rows.append(at)
+    return np.concatenate(keys), np.concatenate(rows)
+
+
+def _bitmaps(rank: np.ndarray, hot: np.ndarray):
+    """Of evaluation prints, the chunks of their keys' bitmap that aren't empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = np.zeros(_PAIR_SLOTS + _TRIPLE_SLOTS, bool)
+        for batch in batches:
+            if batch.num_rows:
+                there[_slot(_keys_of(batch.column(0).to_numpy(), rank, hot)[0])] = True
+        chunks = there.reshape(-1, _CHUNK)
+        some = np.flatnonzero(chunks.any(axis=1))
+        bits = [np.packbits(chunks[c], bitorder="little").tobytes() for c in some]
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(bits, pa.binary())], ["chunk", "bits"])
+
+    return run
+
+
+def _index_keys(rank: np.ndarray, hot: np.ndarray, evaluated: Broadcast):
+    """Keys of evaluation prints, and those keys of training prints that an evaluation print may have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = evaluated.value
         for batch in batches:
             fp, side = (batch.column(i).to_numpy() for i in (0, 1))
             if not len(fp):
                 continue
-            token = fp.view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(8) * 256
-            token = np.take_along_axis(token, np.argsort(rank[token], axis=1), axis=1)
-            keys, rows = [], []
-            for i, j in combinations(range(PREFIX), 2):
-                a, b = token[:, i], token[:, j]
-                deep = hot[a] & hot[b]
-                at = np.flatnonzero(~deep)
-                keys.append(_hashed(a[at], b[at]))
-                rows.append(at)
-                at = np.flatnonzero(deep)
-                for k in range(j + 1, SHINGLES) if len(at) else ():
-                    keys.append(_hashed(a[at], b[at], token[at, k] + 1))
-                    rows.append(at)
-            at = np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(fp[at]), pa.array(side[at])], ["key", "fp", "side"])
+            keys, at = _keys_of(fp, rank, hot)
+            slot = _slot(keys)
+            some = (side[at] == 1) | (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1)
+            keys, at = keys[some].astype(np.int32), at[some]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[at]), pa.array(side[at])], ["key", "fp", "side"])
 
     return run
 
@@ -112,7 +155,12 @@ def near_across(prints: DataFrame) -> DataFrame:
     rank[np.lexsort((np.arange(2048), frequency))] = np.arange(2048)
     # a key of two shingles this frequent would hold more than some 16,000 prints
     hot = frequency.astype(float) ** 2 / max(1, n) > 16384
-    keys = prints.mapInArrow(_index_keys(rank, hot), _KEYS)
+    # a bitmap of fixed size, 4.4 MB, however many keys there are
+    chunks = prints.where("side = 1").select("fp").mapInArrow(_bitmaps(rank, hot), "chunk int, bits binary").groupBy("chunk").agg(F.bitmap_or_agg("bits").alias("bits")).collect()
+    bits = np.zeros((_PAIR_SLOTS + _TRIPLE_SLOTS) // 8, np.uint8)
+    for row in chunks:
+        bits[row.chunk * _CHUNK // 8 : (row.chunk + 1) * _CHUNK // 8] = np.frombuffer(row.bits, np.uint8)
+    keys = prints.mapInArrow(_index_keys(rank, hot, spark.sparkContext.broadcast(bits)), _KEYS)
     spread = keys.repartition(partitions_for(spark, n * 21, 3 << 20), "key")
     return written(spread.mapInArrow(_probe, "trained long, tested long").distinct(), "overlap-near")
 
@@ -126,7 +174,8 @@ def overlaps(df: DataFrame) -> DataFrame:
     once; no items, no pairs.
     """
     items = df.select("id", "side", "who", "name", "exact", "fp").where("id is not null and side is not null")
-    items = written(items.dropDuplicates(["id"]).withColumn("eval", (F.col("side") != "train").cast("byte")), "overlap-items")
+    # an item delivered twice gives equal pairs, which are made distinct at the end
+    items = written(items.withColumn("eval", (F.col("side") != "train").cast("byte")), "overlap-items")
     train, test = items.where("eval = 0"), items.where("eval = 1")
 
     def equal(*columns: str) -> DataFrame:

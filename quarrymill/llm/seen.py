@@ -6,10 +6,10 @@
 2. The others meet, in order, a Bloom filter for their slice of the hash
    space.  Negatives leave at once: they are new.
 3. Positives are verified against full keys.  The full keys of records that
-   cannot matter are dropped before their shuffle by a bitmap of fixed size
+   cannot matter are dropped before their shuffle by a bitmap of bounded size
    over the positives' hashes.
-4. A positive without an earlier equal key is a disproved one; their number is
-   the filter's measured error.  What is reported after verification is exact.
+4. A positive without an earlier equal key is a disproved one; they are logged,
+   and their number is the filter's measured error.  What is reported after verification is exact.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from .scratch import partitions_for, written
 
 LOCAL_SLOTS = 1 << 16
 STEP = 256  # records a filter tests before it takes them in
-BITMAP_BITS = 1 << 25  # 4 MB however many positives there are
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 30  # of the bitmap, eight a positive between them: 128 KB to 128 MB; a full one only prunes less
 BITMAP_CHUNK = 32768  # bits of one bitmap_construct_agg value
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -46,6 +46,10 @@ class SeenResult:
     found: DataFrame
     records: DataFrame
 
+    def disproved(self) -> DataFrame:
+        """``(order, hash)`` of the positives that verification disproved: the log of the filter's errors."""
+        return self.positives.join(self.found, "order", "left_anti").select("order", "hash").distinct()
+
     def report(self) -> DataFrame:
         """One row: records, filter positives, disproved ones, filter's error rate, rate after verification.
 
@@ -134,14 +138,14 @@ def _filter_pass(config: SeenConfig):
     return run
 
 
-def _positive_bitmap(positives: DataFrame) -> bytes:
-    """Bitmap over hash slots of the positives; at most BITMAP_BITS / 8 bytes reach the driver."""
-    slot = F.pmod("hash", F.lit(BITMAP_BITS))
+def _positive_bitmap(positives: DataFrame, size: int) -> bytes:
+    """Bitmap over hash slots of the positives; at most ``size`` / 8 bytes reach the driver."""
+    slot = F.pmod("hash", F.lit(size))
     chunks = (
         positives.select((slot / BITMAP_CHUNK).cast("int").alias("chunk"), (slot % BITMAP_CHUNK).alias("bit"))
         .groupBy("chunk").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
     )
-    bits = bytearray(BITMAP_BITS // 8)
+    bits = bytearray(size // 8)
     for row in chunks:
         bits[row.chunk * BITMAP_CHUNK // 8 : (row.chunk + 1) * BITMAP_CHUNK // 8] = row.bits
     return bytes(bits)
@@ -169,13 +173,14 @@ def seen_before(df: DataFrame, keys: list[str], order: str, config: SeenConfig =
     ordered = routed.repartition(partitions_for(spark, n, 2 << 20), "slice").sortWithinPartitions("slice", "order", "hash")
     positives = written(ordered.mapInArrow(_filter_pass(config), "hash long, order long"), "seen-positives")
 
-    bits = spark.sparkContext.broadcast(np.frombuffer(_positive_bitmap(positives), np.uint8))
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (8 * positives.count()).bit_length()))
+    bits = spark.sparkContext.broadcast(np.frombuffer(_positive_bitmap(positives, size), np.uint8))
 
     @F.pandas_udf("boolean")
     def may_matter(h):
         import pandas as pd
 
-        slot = np.mod(h.to_numpy(), BITMAP_BITS)
+        slot = np.mod(h.to_numpy(), size)
         return pd.Series((bits.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1)
 
     full = [f"key{i}" for i in range(len(keys))]

@@ -18,7 +18,7 @@ from .scratch import written
 
 TILE = 1024
 BLOCK = 8192  # rows of a cell that meet in one task; larger cells are products of blocks
-SLACK = 2e-6  # rounding of single-precision sums and of double-precision cosines
+SLACK = 2e-6  # more than two roundings of a cosine in single precision, and those of sums in double precision
 
 
 def present(vector: Column, dims: int = 64) -> Column:
@@ -85,12 +85,14 @@ def tile_survivors(
     """Pairs (i, j, estimate, bound) whose cosine may reach ``least``.
 
     ``left`` and ``right`` are row numbers; without ``right``, each pair inside
-    ``left`` once.  Products of 8-bit codes are whole numbers below 2**24 and
-    so exact in single precision.
+    ``left`` once.  Products of 8-bit codes are whole numbers: below 2**24 they
+    are exact in single precision, else double precision is used.  The scales
+    are multiplied in afterwards, two roundings that ``SLACK`` exceeds.
     """
+    exact = np.float32 if code.shape[1] * 127**2 < 1 << 24 else np.float64
     worst = max(float(err[left].max(initial=0)), float(err[left if right is None else right].max(initial=0)))
     margin = worst * (2 + worst) + SLACK
-    wide = lambda rows: code[rows].astype(np.float32) * scale[rows, None]
+    wide = lambda rows: code[rows].astype(exact)
     x_all = wide(left)
     y_all = x_all if right is None else wide(right)
     for a in range(0, len(left), tile):
@@ -101,6 +103,8 @@ def tile_survivors(
         for b in range(0, len(others), tile):
             cols = others[b : b + tile]
             product = x @ y_all[skip + b : skip + b + tile].T
+            product *= scale[rows, None]
+            product *= scale[cols]
             i, j = np.nonzero(product >= least - margin)
             if right is None and b == 0:
                 i, j = i[i < j], j[i < j]

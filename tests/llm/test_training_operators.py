@@ -160,7 +160,7 @@ def cloud(rng, n, spread):
     return np.concatenate([centre + spread * rng.normal(size=centre.shape) for _ in range(6)])
 
 
-@pytest.mark.parametrize("config", [neighbours.NeighbourConfig(), neighbours.NeighbourConfig(exact_up_to=50, sample=400)])
+@pytest.mark.parametrize("config", [neighbours.NeighbourConfig(), neighbours.NeighbourConfig(rows_per_cell=100, sample=400)])
 def test_neighbours_against_brute_force(spark, config):
     rng = np.random.default_rng(2)
     x = cloud(rng, 600, 0.25)
@@ -174,7 +174,7 @@ def test_neighbours_against_brute_force(spark, config):
     for i in range(len(x)):
         near = [j for j in np.lexsort((np.arange(len(x)), -s[i])) if j != i and s[i, j] >= 0.85][:5]
         want |= {(i, int(j)) for j in near}
-    if config.exact_up_to > 1000:
+    if config.rows_per_cell > 1000:
         # vectors equal but for their length tie within rounding: compare similarities there
         for a, b in got ^ want:
             assert any(np.isclose(s[a, b], s[a, c], atol=1e-7) for c in range(len(x)) if c != b and c != a)
@@ -184,7 +184,7 @@ def test_neighbours_against_brute_force(spark, config):
     assert neighbours.nearest(df.limit(0), "face_id", "e", config).count() == 0
 
 
-@pytest.mark.parametrize("config", [neighbours.NeighbourConfig(), neighbours.NeighbourConfig(exact_up_to=50, sample=400)])
+@pytest.mark.parametrize("config", [neighbours.NeighbourConfig(), neighbours.NeighbourConfig(rows_per_cell=100, sample=400)])
 def test_neighbours_among_near_copies(spark, config, monkeypatch):
     rng = np.random.default_rng(6)
     centre = rng.normal(size=(2, 64))
@@ -202,7 +202,7 @@ def test_neighbours_among_near_copies(spark, config, monkeypatch):
     assert got == want
 
 
-@pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(hot=3, broadcast_rows=0, settle_rows=2, buckets=3)])
+@pytest.mark.parametrize("config", [history.HistoryConfig(), history.HistoryConfig(hot=3, broadcast_rows=0, broadcast_vectors=0, settle_rows=2, buckets=3)])
 def test_history_is_greedy(spark, config):
     rng = np.random.default_rng(4)
     x = cloud(rng, 90, 0.2)
