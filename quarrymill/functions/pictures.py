@@ -64,7 +64,7 @@ def perceptual_bits(g: np.ndarray, size: int = 32, low: int = 8) -> str:
     """Signs against the median of the low DCT coefficients (bilinear reduction; see README on exactness)."""
     m = cosine_matrix(size)
     d = (m @ resized(g, size, size) @ m.T)[:low, :low].ravel()
-    return "".join("1" if v > np.median(d) else "0" for v in d)
+    return "".join("1" if v else "0" for v in d > np.median(d))
 
 
 def evaluation_tensor(bgr: np.ndarray, size: int = DEFAULTS.image_size, resize_to: int = 256) -> np.ndarray:
@@ -127,7 +127,8 @@ def exif_orientation(content: bytes) -> int:
 
 def _each(image: pd.DataFrame):
     for d, h, w, c in zip(image["data"], image["height"], image["width"], image["nChannels"], strict=True):
-        yield None if d is None or h is None or h <= 0 or w <= 0 else pixels(d, h, w, c)
+        # beside nulls, whole numbers arrive as floats
+        yield None if d is None or h is None or w is None or not h > 0 or not w > 0 else pixels(d, int(h), int(w), int(c))
 
 
 def measures_udf():
@@ -167,9 +168,9 @@ def crop_udf():
     return crop
 
 
-def tensor_udf(size: int = DEFAULTS.image_size):
+def tensor_udf(size: int = DEFAULTS.image_size, resize_to: int = 256):
     @F.pandas_udf("array<float>")
     def tensor(image: pd.DataFrame) -> pd.Series:
-        return pd.Series([None if a is None else evaluation_tensor(a, size).ravel() for a in _each(image)])
+        return pd.Series([None if a is None else evaluation_tensor(a, size, resize_to).ravel() for a in _each(image)])
 
     return tensor

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 
 from ..functions import vectors as V
 from ..settings import DEFAULTS
-from ..sources.tables import written
+from ..sources.tables import dropped, written
 
+REPLAY_ROWS = 1 << 20  # undecided rows and links that one task replays in order; the result is the same for any number
 LAYERS = ("md5", "phash", "emb")  # also the order in which a reason is given
 
 
@@ -32,16 +34,17 @@ def exact_edges(df: DataFrame, label: str, order: str, key: str) -> DataFrame:
 def hamming_edges(df: DataFrame, label: str, order: str, bits: str, most: int = DEFAULTS.duplicate_distance) -> DataFrame:
     """Pairs of 64-bit fingerprints (long) within ``most``: an exact band join.
 
-    The bits are cut into ``most + 1`` bands; two fingerprints within the distance agree in at least one of them.
+    The bits are cut into ``most + 2`` bands; two fingerprints within the distance agree in at least two of them.
+    A key is a pair of bands (18 bits at distance 5), so that few other fingerprints of a label share it.
     """
-    bands, at, cuts = most + 1, 0, []
+    bands, at, cuts = most + 2, 0, []
     for i in range(bands):
         width = 64 // bands + (i < 64 % bands)
-        value = F.shiftrightunsigned(bits, at).bitwiseAND(F.lit((1 << width) - 1)) if width < 64 else F.col(bits)
-        cuts.append(F.struct(F.lit(i).alias("no"), value.alias("band")))
+        cuts.append(F.shiftrightunsigned(bits, at).bitwiseAND(F.lit((1 << width) - 1)))
         at += width
+    keys = [F.struct(F.lit(n).alias("no"), F.shiftleft(x, 32).bitwiseOR(y).alias("band")) for n, (x, y) in enumerate(combinations(cuts, 2))]
     base = df.where(f"{label} is not null and {bits} is not null")
-    banded = base.select(label, F.col(order).alias("a"), F.col(bits).alias("x"), F.explode(F.array(*cuts)).alias("c")).select(label, "c.no", "c.band", "a", "x")
+    banded = base.select(label, F.col(order).alias("a"), F.col(bits).alias("x"), F.explode(F.array(*keys)).alias("c")).select(label, "c.no", "c.band", "a", "x")
     other = banded.withColumnsRenamed({"a": "b", "x": "y"})
     met = banded.join(other, [label, "no", "band"]).where((F.col("a") < F.col("b")) & (V.hamming(F.col("x"), F.col("y")) <= most))
     return met.select(label, "a", "b").distinct()
@@ -115,35 +118,69 @@ def _rivals(members: DataFrame, near: DataFrame, status: DataFrame) -> DataFrame
     return members.join(least, "cls").groupBy("id", "layer").agg(F.min("k").alias("k"), F.min("u").alias("u"))
 
 
-def greedy_by_class(items: DataFrame, members: DataFrame, near: DataFrame, order: str, rounds: int = 1000) -> DataFrame:
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Dropped ones of items (id, classes, near classes) in order: one is kept unless a kept one has its class or a near one."""
+    taken: set[int] = set()
+    for batch in batches:
+        out = []
+        for id_, own, near in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if not taken.isdisjoint(own):
+                out.append(id_)
+            else:
+                taken.update(own)
+                taken.update(near or ())
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], ["id"])
+
+
+def _replayed(members: DataFrame, near: DataFrame) -> DataFrame:
+    """``(id)`` of the dropped ones, in one task; for few rows."""
+    around = near.groupBy("cls").agg(F.collect_list("other").alias("near"))
+    rows = members.join(around, "cls", "left").groupBy("id").agg(F.collect_list("cls").alias("own"), F.flatten(F.collect_list(F.coalesce("near", F.array().cast("array<long>")))).alias("near"))
+    return rows.repartition(1).sortWithinPartitions("id").select("id", "own", "near").mapInArrow(_in_order, "id long")
+
+
+def greedy_by_class(items: DataFrame, members: DataFrame, near: DataFrame, order: str, replay_rows: int = REPLAY_ROWS) -> DataFrame:
     """``items`` with ``kept``: an item is kept unless an earlier kept one matches it.
 
     Two items match when they share a class or belong to matching ones; classes
-    stand for their members, so that many copies make no pairs.  A fixpoint: an
-    item without an earlier undecided or kept match is kept, beside an earlier
-    kept one it is dropped.  Rounds are written to the shared folder; their
-    number is the longest chain of dependent decisions.
+    stand for their members, so that many copies make no pairs.  While there are
+    more undecided rows than ``replay_rows``, a round over all of them keeps the
+    items without an earlier undecided match and drops what matches those; only
+    what is still undecided goes on.  What is few is replayed in order, one
+    after another.  ``order`` is a unique long.
     """
     linked = near.select("cls").unionByName(members.groupBy("cls").count().where("count > 1").select("cls")).distinct()
-    members = written(members.join(linked, "cls", "left_semi"), "greedy-members")
-    near = written(near, "greedy-near")
-    status = members.select("id").distinct().withColumn("kept", F.lit(None).cast("boolean"))
-    for _ in range(rounds):
-        rival = _rivals(members, near, status).groupBy("id").agg(F.min("k").alias("k"), F.min("u").alias("u"))
-        new = F.coalesce("kept", F.when(F.coalesce(F.col("k") < F.col("id"), F.lit(False)), False).when(F.col("u") >= F.col("id"), True))
-        status = written(status.join(rival, "id").select("id", new.alias("kept")), "greedy-status")
-        if status.where("kept is null").isEmpty():
+    members = written(members.join(linked, "cls", "left_semi").select("id", "cls"), "greedy-members")
+    near = written(near.select("cls", "other").distinct(), "greedy-near")
+    lost = []
+    while rows := members.count():
+        if rows + near.count() <= replay_rows:
+            lost.append(_replayed(members, near))
             break
-    else:
-        raise RuntimeError(f"not settled in {rounds} rounds")
-    return items.join(status.withColumnRenamed("id", order), order, "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
-
-
-def greedy_keep(items: DataFrame, edges: DataFrame, order: str, rounds: int = 1000) -> DataFrame:
+        first = members.groupBy("cls").agg(F.min("id").alias("u"))
+        around = near.join(first.withColumnRenamed("cls", "other"), "other").select("cls", "u")
+        least = first.unionByName(around).groupBy("cls").agg(F.min("u").alias("u"))
+        free = members.join(least, "cls").groupBy("id").agg(F.min("u").alias("u")).where("u >= id").select("id")
+        won = written(members.join(free, "id", "left_semi"), "greedy-won")
+        hit = won.select("cls").distinct()
+        hit = hit.unionByName(near.join(hit.withColumnRenamed("cls", "other"), "other", "left_semi").select("cls")).distinct()
+        settled = won.select("id").distinct()
+        out = written(members.join(hit, "cls", "left_semi").select("id").distinct().join(settled, "id", "left_anti"), "greedy-lost")
+        lost.append(out)
+        rest = written(members.join(settled.unionByName(out), "id", "left_anti"), "greedy-members")
+        open_ = rest.select("cls").distinct()
+        fewer = written(near.join(open_, "cls", "left_semi").join(open_.withColumnRenamed("cls", "other"), "other", "left_semi").select("cls", "other"), "greedy-near")
+        dropped(members, near, won)
+        members, near = rest, fewer
+    gone = reduce(DataFrame.unionByName, lost) if lost else items.select(F.col(order).alias("id")).limit(0)
+    return items.join(gone.select(F.col("id").alias(order), F.lit(False).alias("kept")), order, "left").withColumn("kept", F.coalesce("kept", F.lit(True)))
+
+
+def greedy_keep(items: DataFrame, edges: DataFrame, order: str, replay_rows: int = REPLAY_ROWS) -> DataFrame:
     """The same from plain edges ``(a, b)``: every item is a class of its own."""
     both = edges.select(F.col("a").alias("cls"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("cls"), F.col("a").alias("other"))).distinct()
     members = items.select(F.col(order).alias("id"), F.lit("any").alias("layer"), F.col(order).alias("cls"))
-    return greedy_by_class(items, members, both, order, rounds)
+    return greedy_by_class(items, members, both, order, replay_rows)
 
 
 def drop_reasons(kept: DataFrame, members: DataFrame, near: DataFrame, order: str) -> DataFrame:

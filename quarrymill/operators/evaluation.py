@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,18 +61,50 @@ def epoch_metrics(batches: DataFrame, run: str = "run") -> DataFrame:
     return batches.groupBy(run).agg((F.sum(F.col("loss") * F.col("batch_size")) / n).alias("loss"), (F.sum("correct") / n).alias("accuracy"))
 
 
-def nearest_prototype(items: DataFrame, prototypes: DataFrame, vector: str = "embedding") -> DataFrame:
-    """Adds ``logits`` (cosines to every prototype, in order of class), ``y_pred`` and ``probabilities``.
+PROTOTYPES_AT_ONCE = 50_000  # that one product takes; they are some 25 MB at 64 dimensions
+
+
+def _products(prototypes: Broadcast) -> Callable[[pd.Series], pd.Series]:
+    @F.pandas_udf("array<double>")
+    def products(vectors: pd.Series) -> pd.Series:
+        has = vectors.notna().to_numpy()
+        out: list = [None] * len(vectors)
+        if has.any():
+            rows = np.stack(vectors[has].to_list()).astype(np.float64)
+            rows /= np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+            for i, found in zip(np.flatnonzero(has), rows @ prototypes.value.T, strict=True):
+                out[i] = found
+        return pd.Series(out, dtype=object)
+
+    return products
+
+
+def nearest_prototype(items: DataFrame, prototypes: DataFrame, vector: str = "embedding", at_once: int = PROTOTYPES_AT_ONCE) -> DataFrame:
+    """Adds ``logits`` (cosines to every prototype, in order of class), ``class_names``, ``y_pred`` and ``probabilities``.
 
-    The prototypes, one for each class, travel as one array.
+    There is one prototype for each class, and a row's result names all of them.
+    They are fetched and multiplied in Arrow batches, ``at_once`` of them at a time.
     """
-    every = prototypes.agg(F.array_sort(F.collect_list(F.struct(F.col("label").alias("l"), F.col("ref").alias("r")))).alias("protos"))
-    met = items.join(F.broadcast(every), F.lit(True))  # one row
-    logits = F.transform("protos", lambda p: V.cosine(F.col(vector), p["r"]))
-    named = F.transform("protos", lambda p: p["l"])
-    return met.withColumn("logits", logits).withColumn("class_names", named).drop("protos").withColumns(
-        {"y_pred": F.element_at("class_names", V.argmax(F.col("logits")) + 1), "probabilities": V.softmax(F.col("logits"))}
-    )
+    spark = items.sparkSession
+    kept = prototypes.select("label", "ref").orderBy("label")
+    names, blocks, rows = [], [], []
+
+    def flush() -> None:
+        if rows:
+            block = np.array(rows, np.float64)
+            blocks.append(_products(spark.sparkContext.broadcast(block / np.sqrt((block * block).sum(axis=1, keepdims=True))))(F.col(vector)))
+            rows.clear()
+
+    for row in kept.toLocalIterator(prefetchPartitions=True):
+        names.append(row["label"])
+        rows.append(row["ref"])
+        if len(rows) >= at_once:
+            flush()
+    flush()
+    logits = F.concat(*blocks) if blocks else F.array().cast("array<double>")
+    class_names = F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
+    met = items.withColumn("logits", logits).withColumn("class_names", class_names)
+    return met.withColumns({"y_pred": F.get("class_names", V.argmax(F.col("logits"))), "probabilities": V.softmax(F.col("logits"))})
 
 
 def prediction_response(df: DataFrame, k: int = 3, digits: int = 4) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,15 +16,35 @@ from ..settings import DEFAULTS, Settings
 FACE_RULES = ("largest", "first", "best_match")
 
 
+def _sums(epsilon: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            names = batch.column(0).dictionary_encode()
+            rows = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+            rows /= np.sqrt((rows * rows).sum(axis=1, keepdims=True)) + epsilon
+            own = names.indices.to_numpy()
+            total = np.zeros((len(names.dictionary), rows.shape[1]))
+            np.add.at(total, own, rows)
+            ends = np.arange(0, total.size + 1, rows.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([names.dictionary, pa.array(np.bincount(own, minlength=len(total))), pa.ListArray.from_arrays(pa.array(ends), pa.array(total.ravel()))], ["label", "n", "total"])
+
+    return run
+
+
 def mean_vectors(df: DataFrame, label: str, vector: str, epsilon: float = 0.0) -> DataFrame:
     """``(label, n_vectors, ref)``: normalised vectors' mean, normalised again; a label without vectors has no row.
 
-    Elements are averaged by position, so that partial sums combine map-side.
+    Vectors, all of one length, are added up by label in Arrow batches first; only those sums are exploded.
     """
-    unit = df.where(F.col(label).isNotNull() & F.col(vector).isNotNull()).select(label, F.posexplode(V.normalise(F.col(vector), epsilon)).alias("pos", "x"))
-    means = unit.groupBy(label, "pos").agg(F.avg("x").alias("m"), F.count(F.lit(1)).alias("n"))
-    whole = means.groupBy(label).agg(F.max("n").alias("n_vectors"), F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("m"))
-    return whole.select(label, "n_vectors", V.normalise(F.col("m"), epsilon).alias("ref"))
+    rows = df.where(F.col(label).isNotNull() & F.col(vector).isNotNull()).select(F.col(label).alias("label"), vector)
+    sums = rows.mapInArrow(_sums(epsilon), f"label {df.schema[label].dataType.simpleString()}, n long, total array<double>")
+    counts = sums.groupBy("label").agg(F.sum("n").alias("n_vectors"))
+    parts = sums.select("label", F.posexplode("total").alias("pos", "x")).groupBy("label", "pos").agg(F.sum("x").alias("x"))
+    whole = parts.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "x"))), lambda s: s["x"]).alias("m"))
+    means = whole.join(counts, "label").withColumn("m", F.transform("m", lambda x: x / F.col("n_vectors")))
+    return means.select(F.col("label").alias(label), "n_vectors", V.normalise(F.col("m"), epsilon).alias("ref"))
 
 
 def with_similarity(faces: DataFrame, references: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:

@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import png
+from ..functions.pictures import evaluation_tensor
+from ..functions.vectors import softmax
+from ..settings import DEFAULTS
+from .evaluation import prediction_response
 
 
 def save_linear(path: str, weights: np.ndarray, bias: np.ndarray, names: list[str]) -> None:
@@ -41,3 +50,26 @@ def linear_logits(df: DataFrame, vector: str, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, logits, labels], [*batch.schema.names, "logits", "class_names"])
 
     return df.mapInArrow(run, f"{schema}, logits: array<double>, class_names: array<string>")
+
+
+def respond(df: DataFrame, content: str, weights: np.ndarray, bias: np.ndarray, names: list[str], size: int = DEFAULTS.image_size, resize_to: int = 256) -> DataFrame:
+    """Adds ``response``, the JSON answer to the picture bytes in ``content``; null where they can't be read.
+
+    Bytes are decoded, set to the evaluation transform and put through a linear model in one Arrow pass.
+    """
+    model = df.sparkSession.sparkContext.broadcast((weights, bias))
+
+    @F.pandas_udf("array<double>")
+    def logits(contents: pd.Series) -> pd.Series:
+        w, b = model.value
+        out = []
+        for data in contents:
+            try:
+                out.append(w @ evaluation_tensor(png.decode(bytes(data)), size, resize_to).ravel() + b if data is not None else None)
+            except (ValueError, struct.error, IndexError):
+                out.append(None)
+        return pd.Series(out, dtype=object)
+
+    scored = df.withColumn("_logits", logits(content)).withColumn("probabilities", softmax(F.col("_logits"))).withColumn("class_names", F.array(*map(F.lit, names)))
+    answered = prediction_response(scored)
+    return answered.select(*df.columns, F.when(F.col("_logits").isNotNull(), F.col("response")).alias("response"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.urls import numbered, number_of
 from ..settings import DEFAULTS
 from ..sources.tables import written
+from .positions import positions
 
 
 def ranked(df: DataFrame, label: str, *order: str | Column, name: str = "rank") -> DataFrame:
@@ -21,8 +22,19 @@ def best_per_class(df: DataFrame, label: str, *order: str | Column, keep: int =
 
 
 def with_status(df: DataFrame, label: str, *order: str | Column, keep: int = DEFAULTS.best_per_class) -> DataFrame:
-    """Every row with its rank and ``status`` saved or removed."""
-    return ranked(df, label, *order).withColumn("status", F.when(F.col("rank") <= keep, "saved").otherwise("removed"))
+    """Every row with ``status`` saved or removed, and the ``rank`` of saved ones; ``order`` ends in a unique column's name.
+
+    Only the first ``keep`` of each label are ranked, map-side first; the others get no place in any one task.
+    """
+    id_ = order[-1]
+    saved = best_per_class(df, label, *order, keep=keep).select(F.col(id_).alias("_saved"), "rank")
+    return df.join(saved, F.col(id_) == F.col("_saved"), "left").withColumn("status", F.when(F.col("rank").isNotNull(), "saved").otherwise("removed")).drop("_saved")
+
+
+def status_counts(df: DataFrame, label: str, keep: int = DEFAULTS.best_per_class) -> DataFrame:
+    """``(label, rows, saved, removed)``: how many the first ``keep`` of each label are follows from its number of rows."""
+    n = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"))
+    return n.select(label, "rows", F.least("rows", F.lit(keep)).alias("saved"), F.greatest(F.col("rows") - keep, F.lit(0)).alias("removed"))
 
 
 def cleaning_report(df: DataFrame, label: str, name: str, *order: str | Column, keep: int = DEFAULTS.best_per_class) -> DataFrame:
@@ -35,7 +47,8 @@ def capped(df: DataFrame, key: str, *order: str | Column, cap: int, existing: Da
     """The first ``cap`` rows of each key in order of arrival; ``existing(key, accepted)`` already counts."""
     if existing is None:
         return ranked(df, key, *order).where(F.col("rank") <= cap).drop("rank")
-    rows = ranked(df, key, *order).join(existing.select(key, "accepted"), key, "left")
+    # nobody accepts more than the cap anew, whatever already counts
+    rows = ranked(df, key, *order).where(F.col("rank") <= cap).join(existing.select(key, "accepted"), key, "left")
     return rows.where(F.col("rank") <= cap - F.coalesce("accepted", F.lit(0))).drop("rank", "accepted")
 
 
@@ -45,14 +58,20 @@ def seeded_order(id_: str, seed: int = DEFAULTS.seed) -> Column:
 
 
 def stratified_split(df: DataFrame, label: str, id_: str, train: int = DEFAULTS.train_percent, val: int = DEFAULTS.val_percent, seed: int = DEFAULTS.seed) -> DataFrame:
-    """Adds ``split``: floors of the shares go to train and val, the rest to test, in seeded order within each label."""
-    rows = ranked(df.withColumn("_order", seeded_order(id_, seed)), label, "_order", id_)
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed(label, "_label")
+    """``df`` with ``split``: floors of the shares go to train and val, the rest to test, in seeded order within each label.
+
+    ``id_`` is unique.  Places come from one range-partitioned sort, so that a label of any size spreads over tasks.
+    """
+    # names of the sort's own columns can't clash
+    inner = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    rows = positions(df.withColumn("_order", seeded_order(id_, seed)).withColumnsRenamed(inner), inner[label], ["_order", inner[id_]], [c for c in inner.values() if c != inner[label]])
+    rows = rows.withColumnsRenamed({v: k for k, v in inner.items()} | {"position": "_place"})
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed(label, "_label")
     rows = rows.join(counts, F.col(label).eqNullSafe(F.col("_label")))
     first = F.floor(F.col("_n") * train / 100)
     second = first + F.floor(F.col("_n") * val / 100)
-    split = F.when(F.col("rank") <= first, "train").when(F.col("rank") <= second, "val").otherwise("test")
-    return rows.withColumn("split", split).drop("_order", "_n", "_label", "rank")
+    split = F.when(F.col("_place") <= first, "train").when(F.col("_place") <= second, "val").otherwise("test")
+    return rows.select(*df.columns, split.alias("split"))
 
 
 def require_splits(df: DataFrame, split: str = "split", names: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
@@ -74,9 +93,10 @@ def next_numbers(df: DataFrame, label: str, name: str) -> DataFrame:
 
 
 def first_seen(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
-    """The first row of each key; rows with a null key are dropped."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.dropna(subset=keys).withColumn("rank", F.row_number().over(w)).where("rank = 1").drop("rank")
+    """The first row of each key, combined map-side; rows with a null key are dropped."""
+    place = F.struct(*order) if len(order) > 1 else order[0]
+    first = df.dropna(subset=keys).groupBy(*(F.col(k).alias(f"_{i}") for i, k in enumerate(keys))).agg(F.min_by(F.struct(*df.columns), place).alias("_row"))
+    return first.select("_row.*")
 
 
 def unseen(df: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:

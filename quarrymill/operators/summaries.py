@@ -18,14 +18,17 @@ def incomplete(summary: DataFrame, label: str) -> DataFrame:
     return summary.where(~F.col("complete")).select(label)
 
 
+def with_total(counts: DataFrame, label: str) -> DataFrame:
+    """A row of ``level`` total below the counts of each label: ``(level, label, counts)``."""
+    names = [c for c in counts.columns if c != label]
+    whole = counts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names))
+    by = counts.select(F.lit("label").alias("level"), label, *names)
+    return by.unionByName(whole.select(F.lit("total").alias("level"), F.lit(None).cast(counts.schema[label].dataType).alias(label), *names))
+
+
 def totals(df: DataFrame, label: str, **counts: Column) -> DataFrame:
     """Counts of each label and, with ``level`` total, of all of them."""
-    parts = [F.count_if(c).alias(n) for n, c in counts.items()]
-    rolled = df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"), *parts)
-    whole = rolled.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows", *counts)))
-    names = ["level", label, "rows", *counts]
-    by = rolled.withColumn("level", F.lit("label")).select(*names)
-    return by.unionByName(whole.withColumns({"level": F.lit("total"), label: F.lit(None).cast(df.schema[label].dataType)}).select(*names))
+    return with_total(df.groupBy(label).agg(F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in counts.items())), label)
 
 
 def round_counters(df: DataFrame, label: str, round_: str, **counts: Column) -> DataFrame:

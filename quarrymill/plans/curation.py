@@ -46,8 +46,7 @@ def removed_items(spark: SparkSession, d: str) -> DataFrame:
 
 
 def class_totals(spark: SparkSession, d: str) -> DataFrame:
-    rows = selection.with_status(measured(spark, d), "label", *_ORDER)
-    return summaries.totals(rows, "label", saved=F.col("status") == "saved", removed=F.col("status") == "removed")
+    return summaries.with_total(selection.status_counts(measured(spark, d), "label"), "label")
 
 
 def next_numbers(spark: SparkSession, d: str) -> DataFrame:
@@ -73,7 +72,7 @@ def label_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def mini_batches(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "split_item").where("split = 'train'").select("item_id").distinct()
+    rows = table(spark, d, "split_item").where(F.lower(F.trim("split")).isin("train", "training")).select("item_id").distinct()
     return selection.mini_batches(rows, "item_id").select("item_id", "batch")
 
 
@@ -159,7 +158,7 @@ ORACLES = {
         FROM s GROUP BY label""",
     "split_disjoint": f"WITH {_SPLIT} SELECT report_id, count(DISTINCT split) AS splits FROM s GROUP BY report_id HAVING count(DISTINCT split) > 1",
     "label_index": "SELECT label, row_number() OVER (ORDER BY label) - 1 AS class_index FROM (SELECT DISTINCT label FROM face WHERE label IS NOT NULL)",
-    "mini_batches": """SELECT item_id, (row_number() OVER (ORDER BY md5(item_id || '/42'), item_id) - 1) // 32 AS batch FROM (SELECT DISTINCT item_id FROM split_item WHERE split = 'train')""",
+    "mini_batches": """SELECT item_id, (row_number() OVER (ORDER BY md5(item_id || '/42'), item_id) - 1) // 32 AS batch FROM (SELECT DISTINCT item_id FROM split_item WHERE lower(trim(split)) IN ('train', 'training'))""",
     "preview": """WITH l AS (SELECT DISTINCT label FROM face WHERE label IS NOT NULL ORDER BY md5(label || '/42'), label LIMIT 1)
         SELECT label, face_id FROM face WHERE label IN (SELECT label FROM l) GROUP BY label, face_id ORDER BY md5(face_id || '/42'), face_id LIMIT 1""",
     "arrival_cap": """SELECT label, seq FROM (SELECT label, seq, row_number() OVER (PARTITION BY label ORDER BY seq) AS n FROM (SELECT DISTINCT label, seq FROM work_item

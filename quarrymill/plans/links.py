@@ -30,8 +30,9 @@ def url_first_seen(spark: SparkSession, d: str) -> DataFrame:
 
 def url_unseen(spark: SparkSession, d: str) -> DataFrame:
     rows = _queued(spark, d).where("label is not null")
-    half = rows.agg(F.max("batch_no")).first()[0] // 2
-    return selection.unseen(rows.where(F.col("batch_no") > half), rows.where(F.col("batch_no") <= half), ["label", "url"]).select("seq")
+    half = rows.agg(F.floor(F.max("batch_no") / 2).alias("half"))  # one row
+    marked = rows.join(F.broadcast(half), F.lit(True)).where("batch_no is not null")
+    return selection.unseen(marked.where("batch_no > half"), marked.where("batch_no <= half"), ["label", "url"]).select("seq")
 
 
 def page_urls(spark: SparkSession, d: str) -> DataFrame:

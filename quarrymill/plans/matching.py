@@ -142,6 +142,8 @@ def _greedy(edges: str, items: str) -> str:
 
 
 _GREEDY = _greedy(f"WITH RECURSIVE {_EDGES}, edge AS (SELECT a, b FROM g WHERE m OR p OR e)", "SELECT label, seq AS id FROM i")
+REASONS = f"""{_GREEDY}, x AS (SELECT b, bool_or(m) AS m, bool_or(p) AS p FROM g WHERE (m OR p OR e) AND a IN (SELECT id FROM alive) AND b NOT IN (SELECT id FROM alive) GROUP BY b),
+        y AS (SELECT b AS seq, CASE WHEN m THEN 'dup:md5' WHEN p THEN 'dup:phash' ELSE 'dup:emb' END AS reason FROM x)"""
 _GREEDY_SMALL = _greedy(
     """WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
        edge AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id < b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.3)""",
@@ -170,8 +172,7 @@ ORACLES = {
     "hamming_pairs": f"WITH {_DEDUP} SELECT a.seq AS a, b.seq AS b FROM i a JOIN i b ON a.label = b.label AND a.seq < b.seq AND bit_count(xor(a.fp, b.fp)) <= 5",
     "cosine_pairs": f"WITH {_DEDUP} SELECT a.seq AS a, b.seq AS b FROM i a JOIN i b ON a.label = b.label AND a.seq < b.seq AND list_cosine_similarity(a.e, b.e) >= 0.92",
     "greedy_dedup": f"{_GREEDY} SELECT o.id AS seq, o.id IN (SELECT id FROM alive) AS kept FROM o",
-    "dedup_reasons": f"""{_GREEDY}, x AS (SELECT b, bool_or(m) AS m, bool_or(p) AS p FROM g WHERE (m OR p OR e) AND a IN (SELECT id FROM alive) AND b NOT IN (SELECT id FROM alive) GROUP BY b)
-        SELECT b AS seq, CASE WHEN m THEN 'dup:md5' WHEN p THEN 'dup:phash' ELSE 'dup:emb' END AS reason FROM x""",
+    "dedup_reasons": f"{REASONS} SELECT seq, reason FROM y",
     "greedy_cosine_dedup": f"{_GREEDY_SMALL} SELECT o.id AS vec_id, o.id IN (SELECT id FROM alive) AS kept FROM o",
     "store_sizes": f"WITH {_DEDUP} SELECT label, count(DISTINCT md5) AS md5s, count(fp) AS phashes, count(e) AS embeddings FROM i GROUP BY label",
 }

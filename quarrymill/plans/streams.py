@@ -5,32 +5,42 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..settings import DEFAULTS
 from ..sources.tables import shared_folder, table
 from ..streaming import flows
+from . import matching
 
 
-def _drained(spark: SparkSession, d: str, name: str, make) -> DataFrame:
+FILES = 4  # of equal ranges of the order, one micro-batch each
+
+
+def _drained(spark: SparkSession, d: str, name: str, order: str, make) -> DataFrame:
+    """The table as a stream of several micro-batches, in the order of ``order``, so that state passes from one to the next."""
     path = f"{shared_folder(spark)}/stream-{name}-{uuid.uuid4().hex}"
     rows = table(spark, d, name)
-    # a table is a folder or one file: a file is named through its folder and a glob
-    stream = make(flows.stream_table(spark, f"{d}/{name}.parquet*", rows.schema))
+    cuts = rows.agg(F.percentile_approx(order, [i / FILES for i in range(1, FILES)])).first()[0] or []
+    part = sum(((F.col(order) > c).cast("int") for c in cuts), F.lit(0))
+    for i in range(FILES):  # written one after another: a file's age is its place in the stream
+        rows.where(F.coalesce(part, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    stream = make(flows.stream_table(spark, f"{path}/in", rows.schema))
     flows.drain(stream, f"{path}/out", f"{path}/state")
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
 def stream_cap(spark: SparkSession, d: str) -> DataFrame:
-    return _drained(spark, d, "events", lambda s: flows.capped_stream(s.select("user_id", "event_id"), "user_id", "event_id", 50))
+    return _drained(spark, d, "events", "event_id", lambda s: flows.capped_stream(s.select("user_id", "event_id"), "user_id", "event_id", 50))
 
 
 def stream_distinct(spark: SparkSession, d: str) -> DataFrame:
     """Keys of the queue, each once, whatever the micro-batches."""
-    return _drained(spark, d, "work_item", lambda s: flows.distinct_keys(s.where("label is not null and url is not null").select("label", "url"), "label", "url"))
+    return _drained(spark, d, "work_item", "seq", lambda s: flows.distinct_keys(s.where("label is not null and url is not null").select("label", "url"), "label", "url"))
 
 
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
-    rows = _drained(spark, d, "dedup_item", lambda s: flows.deduplicated_stream(s.selectExpr("label", "seq", "lower(md5) AS md5", "phash", "embedding"), s=DEFAULTS))
+    """Labels, reasons and counts; a record delivered again counts once."""
+    rows = _drained(spark, d, "dedup_item", "seq", lambda s: flows.deduplicated_stream(s.selectExpr("label", "seq", "lower(md5) AS md5", "phash", "embedding"), s=DEFAULTS))
     return rows.groupBy("label", "reason").count()
 
 
@@ -38,5 +48,6 @@ QUERIES = {f.__name__: f for f in (stream_cap, stream_distinct, stream_dedup)}
 
 ORACLES = {
     "stream_cap": "SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events) WHERE n <= 50",
+    "stream_dedup": matching.REASONS + " SELECT label, reason, count(*) AS count FROM (SELECT i.label, coalesce(y.reason, 'new') AS reason FROM i LEFT JOIN y ON i.seq = y.seq) GROUP BY label, reason",
     "stream_distinct": "SELECT DISTINCT label, url FROM work_item WHERE label IS NOT NULL AND url IS NOT NULL",
 }

@@ -10,21 +10,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.urls import file_name, has_picture_extension, label_of
+from ..functions.urls import file_name, label_of
+from ..settings import IMAGE_EXTENSIONS
+
+# the picture extensions in any letter case, so that other files are never opened
+PICTURE_GLOB = "*.{" + ",".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in e[1:]) for e in IMAGE_EXTENSIONS) + "}"
 
 
 def scan_files(spark: SparkSession, folder: str, pictures_only: bool = True, content: bool = True) -> DataFrame:
     """``(label, name, path, length, content)`` of ``folder/<label>/<file>``; without ``content`` no bytes are read."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    if pictures_only:
-        rows = rows.where(has_picture_extension(F.col("path")))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    rows = (reader.option("pathGlobFilter", PICTURE_GLOB) if pictures_only else reader).load(folder)
     kept = ["path", "length", *(["content"] if content else [])]
     return rows.select(label_of(F.col("path")).alias("label"), file_name(F.col("path")).alias("name"), *kept)
 
 
 def scan_pictures(spark: SparkSession, folder: str) -> DataFrame:
     """Decoded pictures ``(label, name, image)``; one that can't be decoded has ``readable`` false, so it can be counted."""
-    rows = spark.read.format("image").option("recursiveFileLookup", True).load(folder).where(has_picture_extension(F.col("image.origin")))
+    rows = spark.read.format("image").option("recursiveFileLookup", True).option("pathGlobFilter", PICTURE_GLOB).load(folder)
     return rows.select(label_of(F.col("image.origin")).alias("label"), file_name(F.col("image.origin")).alias("name"), "image", (F.col("image.height") > 0).alias("readable"))
 
 
@@ -51,9 +54,9 @@ def write_labelled(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").partitionBy(*(by or ("label",))).parquet(path)
 
 
-def write_report(df: DataFrame, path: str) -> None:
-    """One CSV file with a header; reports are small."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report(df: DataFrame, path: str, rows_a_file: int = 1_000_000) -> None:
+    """CSV files with a header, of up to ``rows_a_file`` rows each: a report has a row for every picture."""
+    df.write.mode("overwrite").option("header", True).option("maxRecordsPerFile", rows_a_file).csv(path)
 
 
 def model_metadata(spark: SparkSession, model: str, size: int, classes: list[str], mean: tuple[float, ...], std: tuple[float, ...]) -> DataFrame:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,9 +18,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where it is unset, a temporary folder of this machine."""
+    """The cluster's ``spark.checkpoint.dir``; only where it is unset and the master is local, a temporary folder of this machine."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="quarrymill-"))
     return "file://" + _LOCAL[0]
@@ -28,7 +32,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage and survives lost executors."""
     path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the folders of tables made by :func:`written` once nothing reads them any more."""
+    for own in tables:
+        if path := _PATHS.pop(own, None):
+            jvm = own.sparkSession._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(own.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def manifest(df: DataFrame, stage: str, *columns: str) -> DataFrame:

@@ -44,13 +44,29 @@ def capped_stream(stream: DataFrame, key: str, order: str, cap: int = DEFAULTS.a
     return stream.groupBy(key).applyInPandasWithState(_capped(cap, order, key), stream.schema, "used int", "append", GroupStateTimeout.NoTimeout)
 
 
+class _Kept:
+    """A label's kept prints and vectors in arrays that grow by doubling."""
+
+    def __init__(self, values: np.ndarray):
+        self.n, self.values = len(values), values
+
+    def add(self, value) -> None:
+        if self.n == len(self.values):
+            self.values = np.concatenate([self.values, np.zeros((max(16, self.n), *self.values.shape[1:]), self.values.dtype)])
+        self.values[self.n] = value
+        self.n += 1
+
+    def all(self) -> np.ndarray:
+        return self.values[: self.n]
+
+
 def _deduplicated(order: str, s: Settings):
     def fold(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        md5s, prints, flat = map(list, state.get) if state.exists else ([], [], [])
-        rows = pd.concat(list(batches)).sort_values(order, kind="stable")
-        seen, prints = set(md5s), np.array(prints, np.int64).view(np.uint64)
+        md5s, prints, flat = state.get if state.exists else ([], [], [])
+        rows = pd.concat(list(batches)).drop_duplicates(order).sort_values(order, kind="stable")
+        seen = set(md5s)
         width = next((len(v) for v in rows["embedding"] if v is not None), 64)
-        kept_vectors = np.array(flat, np.float64).reshape(-1, width)
+        kept_prints, kept_vectors = _Kept(np.array(prints, np.int64).view(np.uint64)), _Kept(np.array(flat, np.float64).reshape(-1, width))
         reasons = []
         for md5, bits, vector in zip(rows["md5"], rows["phash"], rows["embedding"], strict=True):
             mine = np.uint64(int(bits, 2)) if isinstance(bits, str) and len(bits) == 64 and not set(bits) - {"0", "1"} else None
@@ -60,19 +76,20 @@ def _deduplicated(order: str, s: Settings):
             v = None if v is None else v / np.linalg.norm(v)
             if md5 is not None and md5 in seen:
                 reason = "dup:md5"
-            elif mine is not None and len(prints) and (np.bitwise_count(prints ^ mine) <= s.duplicate_distance).any():
+            elif mine is not None and (np.bitwise_count(kept_prints.all() ^ mine) <= s.duplicate_distance).any():
                 reason = "dup:phash"
-            elif v is not None and len(kept_vectors) and (kept_vectors @ v).max() >= s.duplicate_cosine:
+            elif v is not None and kept_vectors.n and (kept_vectors.all() @ v).max() >= s.duplicate_cosine:
                 reason = "dup:emb"
             else:
                 reason = "new"
                 if md5 is not None:
                     seen.add(md5)
-                    md5s.append(md5)
-                prints = prints if mine is None else np.append(prints, mine)
-                kept_vectors = kept_vectors if v is None else np.vstack([kept_vectors, v])
+                if mine is not None:
+                    kept_prints.add(mine)
+                if v is not None:
+                    kept_vectors.add(v)
             reasons.append(reason)
-        state.update((md5s, prints.view(np.int64).tolist(), kept_vectors.ravel().tolist()))
+        state.update((sorted(seen), kept_prints.all().view(np.int64).tolist(), kept_vectors.all().ravel().tolist()))
         yield pd.DataFrame({"label": [k[0]] * len(rows), "seq": rows[order].to_numpy(), "reason": reasons})
 
     return fold

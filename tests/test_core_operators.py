@@ -11,9 +11,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarrymill.functions import pictures as P
+from quarrymill.functions import png as codec
 from quarrymill.functions import quality, urls
 from quarrymill.functions import vectors as V
 from quarrymill.operators import dedup, evaluation, faces, histories, selection
+from quarrymill.operators.positions import positions
 from quarrymill.sources import pictures as sources
 from quarrymill.streaming import flows
 
@@ -67,6 +69,8 @@ def test_greedy_chain_and_crossing_layers(spark):
     members = spark.createDataFrame([(1, "phash", 11), (2, "phash", 12), (2, "emb", 22), (3, "emb", 23), (1, "md5", 5), (4, "md5", 5), (9, "md5", 6)], "id long, layer string, cls long")
     near = spark.createDataFrame([(11, 12), (12, 11), (22, 23), (23, 22)], "cls long, other long")
     items = spark.createDataFrame([(i,) for i in (1, 2, 3, 4, 9)], "seq long")
+    rounds = dedup.greedy_by_class(items, members, near, "seq", replay_rows=0)
+    assert {r.seq for r in rounds.where("kept").collect()} == {1, 3, 9}
     kept = dedup.greedy_by_class(items, members, near, "seq")
     assert {r.seq for r in kept.where("kept").collect()} == {1, 3, 9}
     assert {tuple(r) for r in dedup.drop_reasons(kept, members, near, "seq").collect()} == {(2, "dup:phash"), (4, "dup:md5")}
@@ -252,3 +256,66 @@ def test_exif_orientation():
     body = b"Exif\0\0" + tiff
     jpeg = b"\xff\xd8\xff\xe0\0\x04ab" + b"\xff\xe1" + (len(body) + 2).to_bytes(2, "big") + body + b"\xff\xd9"
     assert P.exif_orientation(jpeg) == 6 and P.exif_orientation(jpeg[:30]) in range(1, 9) and P.exif_orientation(b"nothing") == 1
+
+
+def test_png_files_of_every_filter_and_kind():
+    rng = np.random.default_rng(0)
+    a = rng.integers(0, 256, (7, 5, 3)).astype(np.uint8)
+    assert (codec.decode(codec.encode(a)) == a).all()
+
+    def filtered(raw, step, kind):
+        rows, above = [], np.zeros(raw.shape[1], int)
+        for row in raw.astype(int):
+            left = np.r_[np.zeros(step, int), row[:-step]]
+            corner = np.r_[np.zeros(step, int), above[:-step]]
+            p = left + above - corner
+            nearest = np.where((abs(p - left) <= abs(p - above)) & (abs(p - left) <= abs(p - corner)), left, np.where(abs(p - above) <= abs(p - corner), above, corner))
+            guess = [0, left, above, (left + above) // 2, nearest][kind]
+            rows.append(bytes([kind]) + ((row - guess) % 256).astype(np.uint8).tobytes())
+            above = row
+        return zlib.compress(b"".join(rows))
+
+    def file(width, height, depth, colour, data, extra=b""):
+        chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + b"\0" * 4
+        return codec.SIGNATURE + chunk(b"IHDR", struct.pack(">IIBBBBB", width, height, depth, colour, 0, 0, 0)) + extra + chunk(b"IDAT", data) + chunk(b"IEND", b"")
+
+    for kind in range(5):
+        assert (codec.decode(file(5, 7, 8, 2, filtered(a[:, :, ::-1].reshape(7, 15), 3, kind))) == a).all()
+        g = a[:, :, 0]
+        assert (codec.decode(file(5, 7, 8, 0, filtered(g, 1, kind))) == g[:, :, None]).all()
+        wide = np.stack([g, g], 2).reshape(7, 10)  # 16 bits: the high byte counts
+        assert (codec.decode(file(5, 7, 16, 0, filtered(wide, 2, kind))) == g[:, :, None]).all()
+        assert (codec.decode(file(5, 7, 8, 4, filtered(wide, 2, kind))) == g[:, :, None]).all()
+    body = bytes([1, 2, 3, 4, 5, 6])
+    palette = struct.pack(">I", 6) + b"PLTE" + body + b"\0" * 4
+    assert codec.decode(file(2, 1, 8, 3, zlib.compress(b"\0\0\1"), palette)).tolist() == [[[3, 2, 1], [6, 5, 4]]]
+    for bad in (b"", b"x" * 60, codec.encode(a)[:50], file(5, 7, 8, 3, filtered(a[:, :, 0], 1, 0)), file(5, 7, 4, 0, b"")):
+        with pytest.raises((ValueError, struct.error)):
+            codec.decode(bad)
+
+
+def test_positions_over_many_partitions(spark):
+    rows = [(i % 3 if i % 7 else None, i % 10, i) for i in range(300)]
+    df = spark.createDataFrame(rows + rows[:20], "g int, x int, id int")
+    got = {(r.g, r.id): r.position for r in positions(df, "g", ["x", "id"], ["id"]).collect()}
+    for g in (0, 1, 2, None):
+        own = sorted((x, i) for h, x, i in rows if h == g)
+        assert [got[g, i] for _, i in own] == list(range(1, len(own) + 1))
+    assert positions(df.limit(0), "g", ["x", "id"], ["id"]).count() == 0
+
+
+def test_first_seen_and_status_of_hot_and_null_keys(spark):
+    df = spark.createDataFrame([("a", 3, "z"), ("a", 1, "y"), (None, 0, "x"), ("b", 2, None)], "k string, n int, rank string")
+    assert sorted(map(tuple, selection.first_seen(df, ["k"], "n").collect())) == [("a", 1, "y"), ("b", 2, None)]
+    rows = {r.n: (r["rank"], r.status) for r in selection.with_status(df.drop("rank"), "k", "n", keep=1).collect()}
+    assert rows == {3: (None, "removed"), 1: (1, "saved"), 0: (1, "saved"), 2: (1, "saved")}
+    assert {tuple(r) for r in selection.status_counts(df, "k", keep=1).collect()} == {("a", 2, 1, 1), ("b", 1, 1, 0), (None, 1, 1, 0)}
+
+
+def test_prototypes_in_blocks_and_null_vectors(spark):
+    items = spark.createDataFrame([(1, [1.0, 0.1]), (2, [0.0, 2.0]), (3, None)], "id long, embedding array<double>")
+    protos = spark.createDataFrame([("b", [0.0, 1.0]), ("a", [3.0, 0.0])], "label string, ref array<double>")
+    for at_once in (1, 10):
+        rows = {r.id: r for r in evaluation.nearest_prototype(items, protos, at_once=at_once).collect()}
+        assert rows[1].y_pred == "a" and rows[2].y_pred == "b" and rows[3].y_pred is None
+        assert np.allclose(rows[2].logits, [0, 1]) and rows[1].class_names == ["a", "b"]
