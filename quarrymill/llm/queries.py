@@ -130,7 +130,25 @@ _ITEMS = f"""WITH i AS (SELECT DISTINCT item_id, CASE WHEN lower(trim(split)) IN
              p AS (SELECT a.item_id AS trained, b.item_id AS tested, b.side AS split, b.source FROM i a JOIN i b
                    ON a.side = 'train' AND b.side <> 'train' AND (a.md5 = b.md5 OR {_NEAR} OR a.who = b.who AND a.name = b.name))"""
 
+_VECTOR = "len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+
 ORACLES = {
+    # the least record that chains of alike pairs lead to
+    "p2_groups": f"""
+        WITH RECURSIVE i AS (SELECT DISTINCT seq, label, lower(md5) AS md5, {_BITS} AS fp FROM dedup_item WHERE label IS NOT NULL AND seq IS NOT NULL),
+             e AS (SELECT a.seq AS u, b.seq AS v FROM i a JOIN i b ON a.label = b.label AND a.seq <> b.seq AND (a.md5 = b.md5 OR {_NEAR})),
+             r(seq, low) AS (SELECT seq, seq FROM i UNION SELECT e.v, r.low FROM r JOIN e ON r.seq = e.u AND r.low < e.v)
+        SELECT seq, min(low) AS "group" FROM r GROUP BY seq""",
+    # the sequential loop: one record of each label in each step, against the list of accepted ones
+    "p3_found": f"""
+        WITH RECURSIVE i AS (SELECT DISTINCT seq, label, lower(md5) AS md5, CASE WHEN {_VECTOR} THEN CAST(embedding AS DOUBLE[]) END AS e, (CAST(batch_no AS BIGINT) << 40) + seq AS ord
+                             FROM dedup_item WHERE label IS NOT NULL AND batch_no IS NOT NULL AND seq IS NOT NULL),
+             x AS (SELECT b.ord, list(a.ord) AS near FROM i a JOIN i b ON a.label = b.label AND a.ord < b.ord AND (a.md5 = b.md5 OR list_cosine_similarity(a.e, b.e) >= 0.92) GROUP BY b.ord),
+             o AS (SELECT i.label, i.ord, row_number() OVER (PARTITION BY i.label ORDER BY i.ord) AS n, coalesce(x.near, CAST([] AS BIGINT[])) AS near FROM i LEFT JOIN x ON i.ord = x.ord),
+             k(label, n, kept) AS (SELECT DISTINCT label, CAST(0 AS BIGINT), CAST([] AS BIGINT[]) FROM o
+                  UNION ALL SELECT k.label, o.n, CASE WHEN list_has_any(k.kept, o.near) THEN k.kept ELSE list_append(k.kept, o.ord) END FROM k JOIN o ON k.label = o.label AND o.n = k.n + 1),
+             alive AS (SELECT unnest(kept) AS ord FROM (SELECT label, arg_max(kept, n) AS kept FROM k GROUP BY label))
+        SELECT seq FROM i WHERE ord NOT IN (SELECT ord FROM alive)""",
     "p1_found": f"""
         WITH w AS (SELECT DISTINCT seq, label, {_UNESCAPED} AS url FROM work_item WHERE label IS NOT NULL AND url IS NOT NULL AND seq IS NOT NULL)
         SELECT seq FROM (SELECT seq, min(seq) OVER (PARTITION BY label, url) AS first FROM w) WHERE seq > first""",
