@@ -16,13 +16,15 @@ words are updated by a few array operations.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -31,7 +33,8 @@ SPACE, OTHER, LETTER, NUMBER = 0, 1, 2, 3
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 _NONE = np.int64(1 << 60)
 _REMEMBER = 1 << 18
-_CHUNK = 1 << 21  # characters segmented at a time, except for a longer text
+_CHUNK = 1 << 21  # characters segmented at a time
+_CUT = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 _WIDE = 32  # words of more bytes are merged one by one
 
 
@@ -301,25 +304,40 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _chunks(texts: list[str | None]) -> Iterator[list[str]]:
+def _pieces(text: str, most: int) -> Iterator[str]:
+    """A text cut where a word begins for certain: at one space between two letters or numbers."""
+    at = 0
+    while len(text) - at > most and (cut := _CUT.search(text, at + most)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def _chunks(texts: list[str | None], most: int) -> Iterator[list[str]]:
+    """Texts of about ``most`` characters together; a longer one alone."""
     some, size = [], 0
     for t in texts:
-        some.append(t or "")
-        size += len(some[-1])
-        if size > _CHUNK:
+        t = t or ""
+        if some and size + len(t) > most:
             yield some
             some, size = [], 0
+        some.append(t)
+        size += len(t)
     if some:
         yield some
 
 
-def _encode_batches(path: str, counts_only: bool):
+def _encode_batches(name: str, counts_only: bool, most: int = _CHUNK):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(SparkFiles.get(name))
         for batch in batches:
             at = 0
-            for texts in _chunks(batch.column(1).to_pylist()):
-                flat, total = enc.encode(texts)
+            for texts in _chunks(batch.column(1).to_pylist(), most):
+                if len(texts) == 1:
+                    parts = [enc.encode([p])[0] for p in _pieces(texts[0], most)]
+                    flat, total = np.concatenate(parts), np.array([sum(map(len, parts))])
+                else:
+                    flat, total = enc.encode(texts)
                 id_ = batch.column(0).slice(at, len(texts))
                 at += len(texts)
                 if counts_only:
@@ -331,15 +349,21 @@ def _encode_batches(path: str, counts_only: bool):
     return run
 
 
+def _shipped(spark: SparkSession, path: str) -> str:
+    """The vocabulary file on every executor: the name it has there."""
+    spark.sparkContext.addFile(path)
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def encode_corpus(df: DataFrame, id_: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """``(id, ids array<int>)`` for every row of ``df``, without special tokens.
 
     Text that looks like a control token is ordinary text.  A null and an empty
     text give the empty array; a null id stays; repeated rows stay repeated.
     """
-    return df.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(_encode_batches(tokenizer, False), "id long, ids array<int>")
+    return df.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(_encode_batches(_shipped(df.sparkSession, tokenizer), False), "id long, ids array<int>")
 
 
 def token_counts(df: DataFrame, id_: str, text: str, tokenizer: str = TOKENIZER) -> DataFrame:
     """``(id, tokens long)`` for every row; a null and an empty text have 0 tokens."""
-    return df.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(_encode_batches(tokenizer, True), "id long, tokens long")
+    return df.select(F.col(id_).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(_encode_batches(_shipped(df.sparkSession, tokenizer), True), "id long, tokens long")

@@ -291,6 +291,16 @@ def test_bpe_on_odd_texts_equals_two_public_libraries(spark):
     assert {r.id: r.tokens for r in bpe.token_counts(df, "doc_id", "text").collect()} == {k: len(v) for k, v in got.items()}
 
 
+def test_pieces_of_a_long_text_give_the_ids_of_the_whole():
+    whole = "".join(ODD) + " x\u00b2 y 12 a1 b  c _ d it's they 'll " * 40 + "z" * 500
+    enc = bpe.encoder(bpe.TOKENIZER)
+    for most in (1, 7, 60, 10**6):
+        pieces = list(bpe._pieces(whole, most))
+        assert "".join(pieces) == whole and (most > len(whole)) == (len(pieces) == 1)
+        assert np.concatenate([enc.encode([p])[0] for p in pieces]).tolist() == enc.encode([whole])[0].tolist()
+    assert [t for some in bpe._chunks(["ab", None, "c" * 9, "d", ""], 4) for t in some] == ["ab", "", "c" * 9, "d", ""]
+
+
 def test_long_and_short_merges_agree():
     m = bpe.Merges(bpe.TOKENIZER)
     rng = np.random.default_rng(0)
