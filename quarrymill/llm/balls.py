@@ -117,6 +117,8 @@ def near_prints(prints: DataFrame, hot_half: int = HOT_HALF) -> DataFrame:
 def near_duplicates(df: DataFrame, record: str, group: str, exact: str, print_: str, hot_half: int = HOT_HALF) -> DataFrame:
     """Pairs ``(a, b)``, ``a < b``, of records of one group with an equal ``exact`` value or prints within distance 5.
 
+    All pairs, also those of copies: the expansion of :func:`alike_links`, for who asks for it.
+
     ``print_`` is a long (see :func:`keys.fingerprint`).  A null ``exact`` or
     ``print_`` equals nothing; records without a group or an identifier are left
     out; a record delivered twice counts once; further columns are ignored.
@@ -135,15 +137,14 @@ def near_duplicates(df: DataFrame, record: str, group: str, exact: str, print_:
     return equal("exact").unionByName(equal("fp")).unionByName(met).distinct()
 
 
-def alike_groups(df: DataFrame, record: str, group: str, exact: str, print_: str) -> DataFrame:
-    """``(id, group)`` for every record with an identifier and a group: the least id it is linked to by chains of alike pairs.
+def alike_links(items: DataFrame, hot_half: int = HOT_HALF) -> DataFrame:
+    """The compact form: ``(u, v)``, ``u > v``, over ``items(id, grp, exact, fp)``, a written table.
 
-    Copies are linked to the first of their class and classes by their firsts,
-    so that no class is expanded into its pairs.
+    Every copy is linked to the first of its class of equal ``exact`` or equal
+    print, and classes of alike prints by their firsts: chains of these links
+    are the chains of alike pairs, but n copies give n - 1 links.
     """
-    items = df.select(F.col(record).alias("id"), F.col(group).alias("grp"), F.col(exact).alias("exact"), F.col(print_).alias("fp"))
-    items = written(items.where("id is not null and grp is not null").dropDuplicates(["id"]), "group-items")
-    near = near_prints(items.where("fp is not null").select(F.xxhash64("grp").alias("grp"), "fp").distinct())
+    near = near_prints(items.where("fp is not null").select(F.xxhash64("grp").alias("grp"), "fp").distinct(), hot_half)
 
     def firsts(column: str) -> DataFrame:
         return items.where(f"{column} is not null").groupBy("grp", column).agg(F.min("id").alias("first"))
@@ -151,8 +152,15 @@ def alike_groups(df: DataFrame, record: str, group: str, exact: str, print_: str
     def star(column: str) -> DataFrame:
         return items.where(f"{column} is not null").join(firsts(column), ["grp", column]).select(F.col("id").alias("u"), F.col("first").alias("v")).where("u > v")
 
-    x = firsts("fp").select("grp", F.col("fp").alias("a"), F.col("first").alias("u"))
-    y = firsts("fp").select("grp", F.col("fp").alias("b"), F.col("first").alias("v"))
-    met = near.join(x, "a").join(y, ["grp", "b"]).select("u", "v")
-    found = components(star("exact").unionByName(star("fp")).unionByName(met))
+    x = firsts("fp").select("grp", F.col("fp").alias("a"), F.col("first").alias("x"))
+    y = firsts("fp").select("grp", F.col("fp").alias("b"), F.col("first").alias("y"))
+    met = near.join(x, "a").join(y, ["grp", "b"]).select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v"))
+    return star("exact").unionByName(star("fp")).unionByName(met)
+
+
+def alike_groups(df: DataFrame, record: str, group: str, exact: str, print_: str) -> DataFrame:
+    """``(id, group)`` for every record with an identifier and a group: the least id it is linked to by chains of alike pairs."""
+    items = df.select(F.col(record).alias("id"), F.col(group).alias("grp"), F.col(exact).alias("exact"), F.col(print_).alias("fp"))
+    items = written(items.where("id is not null and grp is not null").dropDuplicates(["id"]), "group-items")
+    found = components(alike_links(items))
     return items.select("id").join(found, "id", "left").select("id", F.coalesce("group", "id").alias("group"))

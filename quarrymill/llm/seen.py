@@ -20,10 +20,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import partitions_for, written
+from .scratch import drop_scratch, new_path, partitions_for, written
 
 LOCAL_SLOTS = 1 << 16
 STEP = 256  # records a filter tests before it takes them in
@@ -193,3 +193,79 @@ def seen_before(df: DataFrame, keys: list[str], order: str, config: SeenConfig =
         least = same.groupBy("hash", *full).agg(F.min("order").alias("first"))
         found = found.unionByName(same.join(least, ["hash", *full]).where("order > first").select("order"))
     return SeenResult(positives, found.distinct(), narrow)
+
+
+def _probe_filters(config: SeenConfig):
+    """Hashes of one slice against the filters of all parts: those that none rules out."""
+
+    def run(hashes: pa.Table, filters: pa.Table) -> pa.Table:
+        h = hashes["hash"].to_numpy()
+        hit = np.zeros(len(h), bool)
+        for size, bits in zip(filters["keys"].to_pylist(), filters["bits"].to_pylist(), strict=True):
+            own = _Bloom(size, config.false_positive_rate)
+            own.words = np.frombuffer(bits, np.uint64)
+            at = own.places(h)
+            hit |= ((own.words[at >> np.uint64(6)] & np.uint64(1) << (at & np.uint64(63))) != 0).all(axis=1) if len(h) else hit
+        return pa.table({"hash": pa.array(h[hit])})
+
+    return run
+
+
+def _build_filter(config: SeenConfig):
+    def run(hashes: pa.Table) -> pa.Table:
+        h = np.unique(hashes["hash"].to_numpy())
+        own = _Bloom(len(h), config.false_positive_rate)
+        for at in range(0, len(h), 1 << 16):
+            own.test_and_set(h[at : at + (1 << 16)])
+        return pa.table({"slice": pa.array([hashes["slice"][0].as_py()], pa.int32()), "keys": pa.array([len(h)], pa.int64()), "bits": pa.array([own.words.tobytes()], pa.binary())})
+
+    return run
+
+
+class KeyStore:
+    """Keys of all earlier batches on disk: whole keys in folders by their hash, and a Bloom filter of each part and slice.
+
+    A batch's distinct keys meet the filters of their slice; what they rule out
+    is new.  The others are looked up among the whole keys of their folders.
+    Only distinct new keys are appended, so no key is stored twice.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, slices: int = 16, config: SeenConfig = SeenConfig()):
+        self.spark, self.config, self.slices = spark, config, slices
+        self.path = path or new_path(spark, "keys")
+        self.parts = 0
+        self.schema = ""
+
+    def _stored(self, table: str, schema: str) -> DataFrame:
+        paths = [f"{self.path}/{table}/part={i}" for i in range(self.parts)]
+        return self.spark.read.schema(schema).option("basePath", f"{self.path}/{table}").parquet(*paths)
+
+    def ingest(self, batch: DataFrame, keys: list[str], order: str) -> DataFrame:
+        """``(order, seen, disproved)`` for every record of ``batch`` with a key and an order; its new keys are appended.
+
+        ``seen``: the key is stored already, or an earlier record of the batch
+        has it.  ``disproved``: a filter took the key for a stored one, and the
+        lookup did not find it; their share is the filters' measured error.
+        """
+        names = [f"key{i}" for i in range(len(keys))]
+        rows = batch.select(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)), F.col(order).cast("long").alias("order")).dropna()
+        rows = written(rows.withColumn("hash", F.xxhash64(*names)), "store-batch")
+        slice_ = F.pmod(F.shiftrightunsigned("hash", 20), F.lit(self.slices)).cast("int")
+        firsts = written(rows.groupBy("hash", *names).agg(F.min("order").alias("first")).withColumn("slice", slice_), "store-firsts")
+        if self.parts:
+            filters = self._stored("filters", "slice int, keys long, bits binary")
+            ask = firsts.select("slice", "hash").distinct().groupBy("slice").cogroup(filters.groupBy("slice"))
+            positive = ask.applyInArrow(_probe_filters(self.config), "hash long").withColumn("positive", F.lit(True))
+            known = self._stored("keys", f"{self.schema}, slice int").join(positive, ["hash"], "left_semi").select("hash", *names).withColumn("known", F.lit(True))
+            marked = firsts.join(positive, "hash", "left").join(known, ["hash", *names], "left")
+        else:
+            marked = firsts.withColumns({"positive": F.lit(None).cast("boolean"), "known": F.lit(None).cast("boolean")})
+        marked = written(marked.withColumns({"positive": F.coalesce("positive", F.lit(False)), "known": F.coalesce("known", F.lit(False))}), "store-marked")
+        fresh = marked.where("not known").select("slice", "hash", *names)
+        self.schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fresh.schema.fields if f.name != "slice")
+        fresh.repartition("slice", F.pmod(F.xxhash64(*names), F.lit(4))).write.option("compression", "zstd").partitionBy("slice").parquet(f"{self.path}/keys/part={self.parts}")
+        fresh.select("slice", "hash").groupBy("slice").applyInArrow(_build_filter(self.config), "slice int, keys long, bits binary").write.parquet(f"{self.path}/filters/part={self.parts}")
+        self.parts += 1
+        out = rows.join(marked.select("hash", *names, "first", "positive", "known"), ["hash", *names])
+        drop_scratch(self.spark, firsts)
+        return out.select("order", (F.col("known") | (F.col("order") > F.col("first"))).alias("seen"), (F.col("positive") & ~F.col("known")).alias("disproved")).distinct()

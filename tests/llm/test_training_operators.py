@@ -126,6 +126,27 @@ def test_overlap_edges(spark):
     assert overlap.overlaps(df.limit(0)).count() == 0
 
 
+def test_a_store_of_keys_over_batches(spark):
+    rng = np.random.default_rng(8)
+    store = seen.KeyStore(spark, slices=3, config=seen.SeenConfig(false_positive_rate=0.3))
+    rows, wrong, before = [], 0, set()
+    for b in range(3):
+        some = [(None if n % 17 == 0 else "a" * (n % 5), f"u{n}", 1000 * b + i) for i, n in enumerate(rng.integers(0, 400, 150).tolist())]
+        batch = spark.createDataFrame(some + some[:5], "label string, url string, seq long").withColumn("hash", F.lit(0))
+        got = {r.order: r for r in store.ingest(batch, ["label", "url"], "seq").collect()}
+        now = set(before)
+        want = {}
+        for label, url, at in some:
+            if label is not None:
+                want[at] = (label, url) in now
+                now.add((label, url))
+        assert {k: r.seen for k, r in got.items()} == want
+        wrong += sum(r.disproved for r in got.values())
+        assert not any(r.disproved for r in got.values() if any((label, url) in before for label, url, at in some if at == r.order))
+        before = now
+    assert wrong > 0 and store.ingest(batch.limit(0), ["label", "url"], "seq").count() == 0
+
+
 # -- problems 3 and 6
 
 
