@@ -68,10 +68,21 @@ def pick_face(faces: DataFrame, picture: str, order: str, rule: str = "largest")
     return faces.withColumn("_place", F.row_number().over(Window.partitionBy(picture).orderBy(*by[rule]))).where("_place = 1").drop("_place")
 
 
-def face_gate(faces: DataFrame, picture: str, s: Settings = DEFAULTS) -> DataFrame:
-    """``(picture, faces, gate)``: no_face is for pictures without a row here, too_many_faces beyond the limit, else ok."""
+def face_gate(faces: DataFrame, picture: str, s: Settings = DEFAULTS, pictures: DataFrame | None = None) -> DataFrame:
+    """``(picture, faces, gate)``: no_face without a face, too_many_faces beyond the limit, else ok.
+
+    ``pictures(picture)`` names all of them; without it, only those with a face have a row.
+    """
     n = faces.groupBy(picture).agg(F.count(F.lit(1)).alias("faces"))
-    return n.withColumn("gate", F.when(F.col("faces") > s.most_faces, "too_many_faces").otherwise("ok"))
+    if pictures is not None:
+        n = pictures.select(picture).distinct().join(n, picture, "left").withColumn("faces", F.coalesce("faces", F.lit(0)))
+    return n.withColumn("gate", F.when(F.col("faces") == 0, "no_face").when(F.col("faces") > s.most_faces, "too_many_faces").otherwise("ok"))
+
+
+def exactly_one(faces: DataFrame, picture: str) -> DataFrame:
+    """The face of pictures that show exactly one, as hashing stored files again wants it."""
+    alone = faces.groupBy(picture).agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").select(picture)
+    return faces.join(alone, picture, "left_semi")
 
 
 def verdict_reason(corrupt: Column, faces: Column, has_reference: Column, similarity: Column, duplicate: Column | None = None, s: Settings = DEFAULTS) -> Column:

@@ -34,3 +34,17 @@ def totals(df: DataFrame, label: str, **counts: Column) -> DataFrame:
 def round_counters(df: DataFrame, label: str, round_: str, **counts: Column) -> DataFrame:
     """Conditional counts by label and round."""
     return df.groupBy(label, round_).agg(F.count(F.lit(1)).alias("found"), *(F.count_if(c).alias(n) for n, c in counts.items()))
+
+
+def queue_counters(df: DataFrame, label: str, round_: str, key: str, order: str, room: int) -> DataFrame:
+    """Found, pushed, seen and queue_full of each label and round.
+
+    A key (URL) is seen if its label has met it at a smaller ``order``; of a
+    round's new ones the first ``room`` are pushed, the others find the queue full.
+    """
+    rows = df.where(f"{label} is not null and {key} is not null")
+    first = rows.groupBy(label, key).agg(F.min(order).alias("_first"))
+    new = rows.join(first, [label, key]).withColumn("_new", F.col(order) == F.col("_first"))
+    counts = new.groupBy(label, round_).agg(F.count(F.lit(1)).alias("found"), F.count_if("_new").alias("_fresh"))
+    pushed = F.least("_fresh", F.lit(room))
+    return counts.select(label, round_, "found", pushed.alias("pushed"), (F.col("found") - F.col("_fresh")).alias("seen"), (F.col("_fresh") - pushed).alias("queue_full"))

@@ -105,6 +105,11 @@ def round_counters(spark: SparkSession, d: str) -> DataFrame:
     return summaries.round_counters(rows, "label", "batch_no", escaped=F.coalesce(F.col("url").contains("\\u00"), F.lit(False)), missing=F.col("url").isNull())
 
 
+def queue_counters(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "work_item").select("seq", "label", "batch_no", urls.unescape(F.col("url")).alias("url")).distinct()
+    return summaries.queue_counters(rows, "label", "batch_no", "url", "seq", room=20)
+
+
 def stage_manifest(spark: SparkSession, d: str) -> DataFrame:
     split = table(spark, d, "split_item").select("item_id", "md5").distinct()
     faces = table(spark, d, "face").select("face_id", "image_path").distinct()
@@ -127,7 +132,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         quality_topk, quality_penalty, best_per_class, removed_items, class_totals, next_numbers, stratified_split, split_counts, split_disjoint, label_index,
-        mini_batches, preview, arrival_cap, arrival_cap_resumed, class_summary, incomplete_classes, round_counters, stage_manifest, crop_boxes, path_labels,
+        mini_batches, preview, arrival_cap, arrival_cap_resumed, class_summary, incomplete_classes, round_counters, queue_counters, stage_manifest, crop_boxes, path_labels,
     )
 }
 
@@ -143,6 +148,10 @@ _SUMMARY = f"""c AS (SELECT label, count(*) FILTER (WHERE good) AS accepted, cou
   (SELECT DISTINCT report_id, {_KEY} AS label, penalty, coalesce(penalty = 0 AND NOT isnan(penalty), false) AS good FROM cleaning_report WHERE politician IS NOT NULL) GROUP BY label)"""
 _FILE = r"regexp_extract(image_path, '[^/\\]*$')"
 
+_PLAIN_URL = "url"
+for _escape, _sign in urls.URL_ESCAPES:
+    _PLAIN_URL = f"replace({_PLAIN_URL}, '{_escape}', '{_sign}')"
+
 ORACLES = {
     "quality_penalty": f"WITH {_MEASURED} SELECT report_id, round(penalty, 6) AS penalty FROM m",
     "quality_topk": f"""WITH {_MEASURED} SELECT report_id, label, original_name, CASE WHEN rank <= 80 THEN printf('%s_%04d.jpg', label, rank) ELSE '' END AS new_name,
@@ -170,6 +179,9 @@ ORACLES = {
     "incomplete_classes": f"WITH {_SUMMARY} SELECT label FROM c WHERE accepted < 100",
     "round_counters": r"""SELECT label, batch_no, count(*) AS found, count(*) FILTER (WHERE contains(coalesce(url, ''), '\u00')) AS escaped, count(*) FILTER (WHERE url IS NULL) AS missing
         FROM (SELECT DISTINCT seq, label, batch_no, url FROM work_item WHERE label IS NOT NULL) GROUP BY 1, 2""",
+    "queue_counters": f"""WITH w AS (SELECT DISTINCT seq, label, batch_no, {_PLAIN_URL} AS url FROM work_item WHERE label IS NOT NULL AND url IS NOT NULL),
+        n AS (SELECT *, seq = min(seq) OVER (PARTITION BY label, url) AS fresh FROM w), c AS (SELECT label, batch_no, count(*) AS found, count(*) FILTER (WHERE fresh) AS fresh FROM n GROUP BY 1, 2)
+        SELECT label, batch_no, found, least(fresh, 20) AS pushed, found - fresh AS seen, fresh - least(fresh, 20) AS queue_full FROM c""",
     "stage_manifest": """SELECT 'split' AS stage, count(*) AS rows, CAST(sum(CAST('0x' || left(md5(concat_ws('|', CAST(item_id AS VARCHAR), md5)), 12) AS BIGINT)) AS VARCHAR) AS digest
           FROM (SELECT DISTINCT item_id, md5 FROM split_item)
         UNION ALL SELECT 'faces', count(*), CAST(sum(CAST('0x' || left(md5(concat_ws('|', CAST(face_id AS VARCHAR), image_path)), 12) AS BIGINT)) AS VARCHAR)

@@ -57,6 +57,31 @@ def verdicts(spark: SparkSession, d: str) -> DataFrame:
     return first.select(reason.alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("pictures"))
 
 
+def verification(spark: SparkSession, d: str) -> DataFrame:
+    """All outcomes of the rule cascade over the downloaded pictures, counted; the number of faces is planted by seq.
+
+    A record without md5 stands for bytes that can't be decoded.
+    """
+    faces_of = F.pmod("seq", F.lit(6))
+    rows = table(spark, d, "dedup_item").where("label is not null").select("seq", "label", "md5", "embedding").dropDuplicates(["seq"])
+    vector = F.when(V.has_length(F.col("embedding"), 64), F.col("embedding"))
+    met = faces.with_similarity(rows.withColumn("embedding", vector), table(spark, d, "reference_vector"))
+    met = met.join(dedup_reasons(spark, d).withColumnRenamed("reason", "dup"), "seq", "left")
+    reason = faces.verdict_reason(F.col("md5").isNull(), faces_of, F.col("ref").isNotNull(), F.col("similarity"), F.regexp_replace("dup", "^dup:", ""))
+    return met.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("pictures"))
+
+
+def lone_faces(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "face").where("image_path is not null").dropDuplicates(["face_id"])
+    return faces.exactly_one(rows, "image_path").select("image_path", "face_id")
+
+
+def faceless(spark: SparkSession, d: str) -> DataFrame:
+    """Gates of all listed pictures, of which some have no face with a box."""
+    rows = table(spark, d, "face").where("image_path is not null").dropDuplicates(["face_id"])
+    return faces.face_gate(rows.where("bbox is not null"), "image_path", pictures=rows).groupBy("gate").agg(F.count(F.lit(1)).alias("pictures"))
+
+
 def median_bits(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", V.above_median_bits(F.col("embedding")).alias("bits"))
 
@@ -116,7 +141,7 @@ def store_sizes(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        unit_vectors, mean_vectors, similarity_gate, best_match_face, largest_face, first_face, face_gate, verdicts, median_bits, md5_first_copies, md5_repeats,
+        unit_vectors, mean_vectors, similarity_gate, best_match_face, largest_face, first_face, face_gate, verdicts, verification, lone_faces, faceless, median_bits, md5_first_copies, md5_repeats,
         hamming_pairs, cosine_pairs, greedy_dedup, dedup_reasons, greedy_cosine_dedup, store_sizes,
     )
 }
@@ -165,6 +190,12 @@ ORACLES = {
     "verdicts": f"""WITH {_SIMILAR}, {_COUNTED}, n AS (SELECT *, row_number() OVER (PARTITION BY image_path ORDER BY face_id) AS n FROM s WHERE image_path IS NOT NULL)
         SELECT CASE WHEN bbox IS NULL THEN 'corrupt' WHEN faces > 3 THEN 'too_many_faces=' || faces WHEN NOT has_ref THEN 'no_ref' WHEN similarity < 0.5 THEN 'low_sim' ELSE 'ok' END AS reason,
                count(*) AS pictures FROM n JOIN c USING (image_path) WHERE n = 1 GROUP BY 1""",
+    "verification": f"""{REASONS}, v AS (SELECT i.seq, CASE WHEN md5 IS NULL THEN 'corrupt' WHEN i.seq % 6 = 0 THEN 'no_face' WHEN i.seq % 6 > 3 THEN 'too_many_faces=' || i.seq % 6 WHEN r.ref IS NULL THEN 'no_ref'
+        WHEN list_cosine_similarity(i.e, CAST(r.ref AS DOUBLE[])) < 0.5 THEN 'low_sim' ELSE coalesce(y.reason, 'ok') END AS reason FROM i LEFT JOIN reference_vector r ON i.label = r.label LEFT JOIN y ON i.seq = y.seq)
+        SELECT reason, count(*) AS pictures FROM v GROUP BY reason""",
+    "lone_faces": "SELECT image_path, min(face_id) AS face_id FROM face WHERE image_path IS NOT NULL GROUP BY image_path HAVING count(DISTINCT face_id) = 1",
+    "faceless": """WITH c AS (SELECT image_path, count(DISTINCT face_id) FILTER (WHERE bbox IS NOT NULL) AS n FROM face WHERE image_path IS NOT NULL GROUP BY 1)
+        SELECT CASE WHEN n = 0 THEN 'no_face' WHEN n > 3 THEN 'too_many_faces' ELSE 'ok' END AS gate, count(*) AS pictures FROM c GROUP BY 1""",
     "median_bits": """SELECT vec_id, array_to_string(list_transform(embedding, lambda x: CASE WHEN CAST(x AS DOUBLE) > m THEN '1' ELSE '0' END), '') AS bits FROM
         (SELECT vec_id, embedding, (list_sort(CAST(embedding AS DOUBLE[]))[32] + list_sort(CAST(embedding AS DOUBLE[]))[33]) / 2 AS m FROM embeddings)""",
     "md5_first_copies": f"WITH {_DEDUP} SELECT min(seq) AS seq FROM i WHERE md5 IS NOT NULL GROUP BY label, md5",

@@ -22,7 +22,8 @@ LEFT, STEP, SIDE = 8, 50, 16
 
 
 @F.pandas_udf(T.BinaryType())
-def _planted(ids: pd.Series) -> pd.Series:
+def planted(ids: pd.Series) -> pd.Series:
+    """The picture file of each number."""
     out = []
     for i in ids:
         a = np.full((12 + i % 7, 16 + i % 9, 3), i % 200 + STEP, np.uint8)
@@ -34,7 +35,7 @@ def _planted(ids: pd.Series) -> pd.Series:
 
 def _decoded(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "cleaning_report").where("report_id is not null").select("report_id").distinct()
-    return rows.select("report_id", png.decode_udf()(_planted("report_id")).alias("image"))
+    return rows.select("report_id", png.decode_udf()(planted("report_id")).alias("image"))
 
 
 def picture_measures(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +71,7 @@ def picture_copies(spark: SparkSession, d: str) -> DataFrame:
 
 def picture_responses(spark: SparkSession, d: str) -> DataFrame:
     """Request bytes to response: decoded, transformed, put through a linear model of two classes, and named; null where unreadable."""
-    served = inference.respond(table(spark, d, "cleaning_report").where("report_id is not null").select("report_id").distinct().withColumn("content", _planted("report_id")), "content", _WEIGHTS, _BIAS, ["dark", "light"], SIDE, SIDE)
+    served = inference.respond(table(spark, d, "cleaning_report").where("report_id is not null").select("report_id").distinct().withColumn("content", planted("report_id")), "content", _WEIGHTS, _BIAS, ["dark", "light"], SIDE, SIDE)
     return served.select("report_id", F.get_json_object("response", "$.prediction").alias("prediction"))
 
 

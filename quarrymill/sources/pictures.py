@@ -7,8 +7,11 @@ import json
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.urls import file_name, label_of
 from ..settings import IMAGE_EXTENSIONS
@@ -49,6 +52,45 @@ def read_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(parse, "label string, ref array<float>")
 
 
+def write_files(df: DataFrame, folder: str, content: str = "content") -> DataFrame:
+    """Bytes of ``df(path, content)`` as files below ``folder``, as they are: ``(path, length)`` of what was written.
+
+    ``path`` is relative (``split/label/name``), unique, and made by the caller;
+    a task that is repeated writes the same files again.  Nulls are left out.
+    ``folder`` is a URI that every executor reaches (``file:``, ``hdfs:``, ``s3:``).
+    """
+
+    def run(batches):
+        system, base = pa_fs.FileSystem.from_uri(folder)
+        made = set()
+        for batch in batches:
+            sizes = []
+            for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                parent = f"{base}/{path}".rsplit("/", 1)[0]
+                if parent not in made:
+                    system.create_dir(parent, recursive=True)
+                    made.add(parent)
+                with system.open_output_stream(f"{base}/{path}.part") as out:
+                    out.write(data)
+                system.move(f"{base}/{path}.part", f"{base}/{path}")
+                sizes.append(len(data))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64())], ["path", "length"])
+
+    return df.select("path", content).dropna().mapInArrow(run, "path string, length long")
+
+
+@F.pandas_udf(T.BinaryType())
+def vector_file(vectors: pd.Series) -> pd.Series:
+    """The bytes of a ``.npy`` file for each vector."""
+    out = []
+    for v in vectors:
+        buf = io.BytesIO()
+        if v is not None:
+            np.save(buf, np.asarray(v, np.float32), allow_pickle=False)
+        out.append(buf.getvalue() if v is not None else None)
+    return pd.Series(out, dtype=object)
+
+
 def write_labelled(df: DataFrame, path: str, *by: str) -> None:
     """Rows below a folder for each label (and split); overwritten as a whole, so no stale members stay."""
     df.write.mode("overwrite").partitionBy(*(by or ("label",))).parquet(path)
