@@ -108,7 +108,7 @@ def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
         for piece in _CLOSE.split(" ".join(block)):
             if not piece.rstrip().endswith(_ENDS):
                 continue
-            tokens = [t for t in map(_SEEN.__getitem__, piece.split()) if t.word]
+            tokens = [t for t in [_SEEN[w] for w in piece.split()] if t.word]
             n = len(tokens)
             if n < config.sentence_words or not tokens[0].upper or sum(t.worded for t in tokens) < config.worded_share * n:
                 continue
@@ -116,12 +116,13 @@ def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
         block.clear()
 
     for line in _LINE.split(text):
-        if "<" in line or "-->" in line or _BOM in line:
-            line = _TAG.sub(" ", line)
-        line = _MARK.sub("", line, count=1).strip()
         tokens = line.split()
+        # a line that begins with a letter and has no tag stays as it is
+        if tokens and not tokens[0][0].isalpha() or "<" in line or "-->" in line or _BOM in line:
+            line = _MARK.sub("", _TAG.sub(" ", line), count=1)
+            tokens = line.split()
         total += len(tokens)
-        if tokens and sum(_SEEN[t].worded for t in tokens) >= config.worded_share * len(tokens):
+        if tokens and sum([_SEEN[t].worded for t in tokens]) >= config.worded_share * len(tokens):
             block.append(line)
         elif block:
             settle()
@@ -133,19 +134,26 @@ def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
 def statistics(text: str | None, config: ProseConfig = ProseConfig()) -> tuple:
     """Language and the six statistics; a null, empty or blank text has no words and zeros, in the language ``none``."""
     text = text or ""
-    tokens = [_SEEN[t] for t in text.split()]
-    words = [t for t in tokens if t.letters]
-    n, visible = len(words), sum(t.length for t in tokens)
-    symbols = 1 - sum(t.letters for t in tokens) / visible if visible else 0.0
+    n = size = visible = letters = 0
+    hits: Counter[str] = Counter()
+    for token, many in Counter(text.split()).items():
+        t = _SEEN[token]
+        visible += many * t.length
+        letters += many * t.letters
+        if t.letters:
+            n += many
+            size += many * t.length
+            for k in t.common:
+                hits[k] += many
+    symbols = 1 - letters / visible if visible else 0.0
     if not n:
         return (UNKNOWN, 0, 0.0, symbols, 0.0, 0.0, 0.0)
-    hits = Counter(k for t in words for k in t.common)
     language, most = min(hits.items(), key=lambda x: (-x[1], LANGUAGES.index(x[0])), default=(UNKNOWN, 0))
     if most < max(2, 0.05 * n):
         language = UNKNOWN
     lines = [s for line in _LINE.split(text) if (s := line.rstrip())]
     ended = sum(1 for s in lines if s.endswith(_ENDS_LINE)) / len(lines)
-    return (language, n, sum(t.length for t in words) / n, symbols, ended, most / n, sentence_share(text, config))
+    return (language, n, size / n, symbols, ended, most / n, sentence_share(text, config))
 
 
 _STATS = "doc_id long, language string, word_count double, mean_word_length double, symbol_ratio double, punctuated_lines double, common_words double, sentence_words double"
