@@ -57,6 +57,7 @@ class ProseConfig:
 
 _BOM = chr(0xFEFF)
 _LINE = re.compile(r"\r\n|[\n\r\v\f\x85" + chr(0x2028) + chr(0x2029) + "]")
+_SEPARATOR = re.compile("[\x1c-\x1e]")
 _TAG = re.compile(r"</?[A-Za-z!][^<>]*>|<!--|-->|" + _BOM)
 _MARK = re.compile(r"""^[\s>#*/\-+|;%!"'`=~:]*(?:\(?\d{1,3}[.)]\s+)?""")
 _CLOSE = re.compile(r"""(?<=[.!?…])["')\]»”’*_/`-]*(?:\s+|$)""")
@@ -94,8 +95,13 @@ class _Tokens(dict):
 _SEEN = _Tokens()
 
 
-def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
-    """Share of the words that stand in full sentences, whatever the language.
+def _lines(text: str) -> list[str]:
+    """Lines by every kind of line end; three separators that ``splitlines`` knows beside them end none."""
+    return _LINE.split(text) if _SEPARATOR.search(text) else text.splitlines()
+
+
+def sentence_share(text: str | list[str], config: ProseConfig = ProseConfig()) -> float:
+    """Share of the words of a text, or of its lines, that stand in full sentences, whatever the language.
 
     A full sentence begins with a capital, ends with a stop, and consists of
     words of letters.  Lines are joined until a blank one or one that isn't made
@@ -115,7 +121,7 @@ def sentence_share(text: str, config: ProseConfig = ProseConfig()) -> float:
             found += n
         block.clear()
 
-    for line in _LINE.split(text):
+    for line in _lines(text) if isinstance(text, str) else text:
         tokens = line.split()
         # a line that begins with a letter and has no tag stays as it is
         if tokens and not tokens[0][0].isalpha() or "<" in line or "-->" in line or _BOM in line:
@@ -151,9 +157,10 @@ def statistics(text: str | None, config: ProseConfig = ProseConfig()) -> tuple:
     language, most = min(hits.items(), key=lambda x: (-x[1], LANGUAGES.index(x[0])), default=(UNKNOWN, 0))
     if most < max(2, 0.05 * n):
         language = UNKNOWN
-    lines = [s for line in _LINE.split(text) if (s := line.rstrip())]
-    ended = sum(1 for s in lines if s.endswith(_ENDS_LINE)) / len(lines)
-    return (language, n, size / n, symbols, ended, most / n, sentence_share(text, config))
+    every = _lines(text)
+    lines = [s for line in every if (s := line.rstrip())]
+    ended = len([s for s in lines if s.endswith(_ENDS_LINE)]) / len(lines)
+    return (language, n, size / n, symbols, ended, most / n, sentence_share(every, config))
 
 
 _STATS = "doc_id long, language string, word_count double, mean_word_length double, symbol_ratio double, punctuated_lines double, common_words double, sentence_words double"
