@@ -55,9 +55,9 @@ def _block_pairs(least: float):
         table = pa.Table.from_batches(list(batches), schema=None) if (batches := [b for b in batches if b.num_rows]) else None
         if table is None:
             return
-        names = {"task": 0, "part": 1, "id": 2, "vector": 3}
-        task, part, ids = (table.column(names[c]).to_numpy() for c in ("task", "part", "id"))
-        rows = table.column(3).combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(ids), -1)
+        task, part, ids = (table.column(c).to_numpy() for c in ("task", "part", "id"))
+        labels = table.column("label").combine_chunks()
+        rows = table.column("vector").combine_chunks().flatten().to_numpy().astype(np.float64).reshape(len(ids), -1)
         rows /= np.sqrt((rows * rows).sum(axis=1, keepdims=True))
         by = np.argsort(task, kind="stable")
         for own in np.split(by, np.flatnonzero(np.diff(task[by])) + 1):
@@ -71,7 +71,8 @@ def _block_pairs(least: float):
                 keep = low < high
                 if keep.any():
                     pairs = np.unique(np.stack([low[keep], high[keep]], 1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+                    own_label = labels.take(pa.array(np.repeat(own[:1], len(pairs))))  # a task has one label
+                    yield pa.RecordBatch.from_arrays([own_label, pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["label", "a", "b"])
 
     return run
 
@@ -88,9 +89,9 @@ def cosine_edges(df: DataFrame, label: str, order: str, vector: str, least: floa
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(k, F.col("own")).alias("i"), F.greatest(k, F.col("own")).alias("j")))
     rows = met.select(label, "id", "vector", "own", F.explode(pair).alias("p"))
     part = F.when(F.col("p.i") == F.col("own"), 0).otherwise(1).cast("byte")
-    tasks = rows.select(F.xxhash64(label, "p.i", "p.j").alias("task"), part.alias("part"), "id", "vector").repartition("task")
-    found = tasks.mapInArrow(_block_pairs(least), "a long, b long")
-    return found.join(base.select(label, F.col("id").alias("a")), "a").select(label, "a", "b")
+    tasks = rows.select(F.xxhash64(label, "p.i", "p.j").alias("task"), part.alias("part"), F.col(label).alias("label"), "id", "vector").repartition("task")
+    found = tasks.mapInArrow(_block_pairs(least), f"label {df.schema[label].dataType.simpleString()}, a long, b long")
+    return found.withColumnRenamed("label", label)
 
 
 def class_members(df: DataFrame, label: str, order: str, **layers: str) -> DataFrame:

@@ -22,8 +22,14 @@ def stream_table(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def distinct_keys(stream: DataFrame, *keys: str) -> DataFrame:
-    """First record of each key (URL and md5 level)."""
+def distinct_keys(stream: DataFrame, *keys: str, time: str | None = None, delay: str | None = None) -> DataFrame:
+    """First record of each key (URL and md5 level).
+
+    With ``time`` and ``delay``, a key is forgotten once the watermark has
+    passed it by the delay; without, all keys are kept as state.
+    """
+    if time and delay:
+        return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
     return stream.dropDuplicates(list(keys))
 
 
