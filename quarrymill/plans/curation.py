@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import quality, urls
@@ -10,14 +10,10 @@ from ..operators import selection, summaries
 from ..settings import DEFAULTS
 from ..sources.tables import manifest, table
 
-def _who() -> Column:
-    """Letters and digits of a name, ignoring letter case."""
-    return F.regexp_replace(F.lower("politician"), r"[^\p{L}\p{N}]", "")
-
 
 def measured(spark: SparkSession, d: str) -> DataFrame:
     """Measured pictures, delivered once, with the penalty from their measures."""
-    rows = table(spark, d, "cleaning_report").select("report_id", _who().alias("label"), "original_name", "blur", "brightness", "width", "height").where("label is not null")
+    rows = table(spark, d, "cleaning_report").select("report_id", urls.letters_digits(F.col("politician")).alias("label"), "original_name", "blur", "brightness", "width", "height").where("label is not null")
     rows = rows.where("blur is not null and brightness is not null and width is not null and height is not null and not isnan(blur) and not isnan(brightness)").dropDuplicates(["report_id"])
     return rows.withColumn("penalty", quality.penalty(F.col("blur"), F.col("brightness"), F.col("width"), F.col("height")))
 
@@ -50,7 +46,7 @@ def class_totals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def next_numbers(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "cleaning_report").select(_who().alias("label"), "original_name").where("label is not null")
+    rows = table(spark, d, "cleaning_report").select(urls.letters_digits(F.col("politician")).alias("label"), "original_name").where("label is not null")
     return selection.next_numbers(rows, "label", "original_name").select("label", F.col("next_number").cast("long").alias("next_number"))
 
 
@@ -92,7 +88,7 @@ def arrival_cap_resumed(spark: SparkSession, d: str) -> DataFrame:
 
 
 def class_summary(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "cleaning_report").select("report_id", _who().alias("label"), "penalty").where("label is not null").distinct()
+    rows = table(spark, d, "cleaning_report").select("report_id", urls.letters_digits(F.col("politician")).alias("label"), "penalty").where("label is not null").distinct()
     return summaries.class_summary(rows, "label", F.coalesce((F.col("penalty") == 0) & ~F.isnan("penalty"), F.lit(False)))
 
 

@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pictures, png
 from ..functions.urls import numbered
 from ..sources import pictures as sources
-from ..sources.tables import shared_folder, table, written
+from ..sources.tables import new_path, table, written
 from .pixels import planted
 
 
 def _written(spark: SparkSession, rows: DataFrame, tag: str) -> str:
-    folder = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+    folder = new_path(spark, tag)
     written(sources.write_files(rows, folder), "files")
     return folder
 

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..settings import DEFAULTS
-from ..sources.tables import shared_folder, table
+from ..sources.tables import new_path, table
 from ..streaming import flows
 from . import matching
 
@@ -18,7 +16,7 @@ FILES = 4  # of equal ranges of the order, one micro-batch each
 
 def _drained(spark: SparkSession, d: str, name: str, order: str, make) -> DataFrame:
     """The table as a stream of several micro-batches, in the order of ``order``, so that state passes from one to the next."""
-    path = f"{shared_folder(spark)}/stream-{name}-{uuid.uuid4().hex}"
+    path = new_path(spark, f"stream-{name}")
     rows = table(spark, d, name)
     cuts = rows.agg(F.percentile_approx(order, [i / FILES for i in range(1, FILES)])).first()[0] or []
     part = sum(((F.col(order) > c).cast("int") for c in cuts), F.lit(0))

@@ -28,22 +28,29 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _LOCAL[0]
 
 
+def new_path(spark: SparkSession, tag: str) -> str:
+    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage and survives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = new_path(df.sparkSession, tag)
+    df.write.option("compression", "zstd").parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     _PATHS[table] = path
     return table
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def dropped(*tables: DataFrame) -> None:
     """Delete the folders of tables made by :func:`written` once nothing reads them any more."""
     for own in tables:
         if path := _PATHS.pop(own, None):
-            jvm = own.sparkSession._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(own.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
+            drop_path(own.sparkSession, path)
 
 
 def manifest(df: DataFrame, stage: str, *columns: str) -> DataFrame:
