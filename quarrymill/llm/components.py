@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import drop_scratch, written
+from .scratch import dropped, written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -38,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         after = written(_star(_star(now, True), False), "edges")
         total = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        drop_scratch(now.sparkSession, now)
+        dropped(now)
         now = after
         if total == mark:
             break

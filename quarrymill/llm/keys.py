@@ -1,34 +1,12 @@
-"""Key and fingerprint expressions shared by the operators (all JVM side)."""
+"""Fingerprint expressions of the training-data queries."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The four escapes of queued URLs and what they stand for.
-URL_ESCAPES = (("\\u003d", "="), ("\\u0026", "&"), ("\\u003c", "<"), ("\\u003e", ">"))
-
-
-def unescaped_url(url: Column) -> Column:
-    for escape, plain in URL_ESCAPES:
-        url = F.replace(url, F.lit(escape), F.lit(plain))
-    return url
-
-
-def letters_digits(name: Column) -> Column:
-    """Letters and digits of a name, ignoring letter case; null stays null."""
-    return F.regexp_replace(F.lower(name), r"[^\p{L}\p{N}]", "")
-
-
-def valid_bits(phash: Column) -> Column:
-    return F.coalesce(phash.rlike("^[01]{64}\\z"), F.lit(False))
-
 
 def fingerprint(phash: Column) -> Column:
     """64 characters ``0``/``1`` as one long; null where the text is malformed."""
     half = lambda at: F.conv(F.substring(phash, at, 32), 2, 10).cast("long")
-    return F.when(valid_bits(phash), F.shiftleft(half(1), 32).bitwiseOR(half(33)))
-
-
-def lowered_md5(md5: Column) -> Column:
-    return F.lower(md5)
+    return F.when(F.coalesce(phash.rlike("^[01]{64}\\z"), F.lit(False)), F.shiftleft(half(1), 32).bitwiseOR(half(33)))

@@ -41,7 +41,7 @@ class NeighbourConfig:
     least: float = 0.85
     tables: int = 6  # independent coarse partitions
     rows_per_cell: int = 1024  # on average; the number of cells grows with the vectors
-    sample: int = 20_000  # vectors, on average, that the cells' centres are fitted on; every vector is indexed
+    sample: int = 12_000  # vectors, on average, that the cells' centres are fitted on; every vector is indexed
     most_centres: int = 2048  # of a level; where more cells are needed, each is divided by the centres of a second level
     heap: int = 16  # candidates of a vector that the codes may leave; with more, the original vectors decide
     dims: int = 64

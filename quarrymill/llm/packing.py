@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .ranking import positions
-from .scratch import drop_scratch, partitions_for, written
+from .scratch import dropped, partitions_for, written
 
 ITEMS_A_TASK = 1 << 15  # texts, and gaps, that one sweep holds; more texts only where they fill fewer than two containers for each sweep
 _LOCAL_BITS, _SHARD_BITS = 24, 24  # a container's key: round, task of the round, number within the task
@@ -106,7 +106,7 @@ def _round(items: DataFrame, gaps: DataFrame | None, round_: int, free: bool, it
     dealt = dealt.select("capacity_id", "capacity", "shard", "kind", "doc_id", "piece", "size", "bin", "position")
     spread = dealt.repartition(partitions_for(spark, rows.count(), 8 * items_a_task), "capacity_id", "shard").sortWithinPartitions("capacity_id", "shard", "kind", "position")
     swept = written(spread.drop("position").mapInArrow(_sweeps(round_, free), _SWEPT), "pack-swept")
-    drop_scratch(spark, rows)
+    dropped(rows)
     return swept
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.urls import letters_digits, unescape
+from ..settings import URL_ESCAPES
 from . import balls, bpe, history, neighbours, overlap, packing, prose, ranking, seen
-from .keys import URL_ESCAPES, fingerprint, letters_digits, lowered_md5, unescaped_url
+from .keys import fingerprint
 from .scratch import written
 
 
@@ -15,7 +17,7 @@ def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def _seen(spark: SparkSession, d: str) -> seen.SeenResult:
-    items = _table(spark, d, "work_item").select("seq", "label", unescaped_url(F.col("url")).alias("url"))
+    items = _table(spark, d, "work_item").select("seq", "label", unescape(F.col("url")).alias("url"))
     return seen.seen_before(items, ["label", "url"], "seq")
 
 
@@ -28,7 +30,7 @@ def p1_error_rate(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pictures(spark: SparkSession, d: str) -> DataFrame:
-    return _table(spark, d, "dedup_item").select("seq", "label", lowered_md5(F.col("md5")).alias("md5"), fingerprint(F.col("phash")).alias("fp"))
+    return _table(spark, d, "dedup_item").select("seq", "label", F.lower("md5").alias("md5"), fingerprint(F.col("phash")).alias("fp"))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -59,7 +61,7 @@ def _split_items(spark: SparkSession, d: str) -> DataFrame:
     side = F.when(split.isin("train", "training"), "train").when(split.isin("val", "valid", "validation"), "val").when(split.isin("test", "testing"), "test")
     return _table(spark, d, "split_item").select(
         F.col("item_id").alias("id"), side.alias("side"), letters_digits(F.col("politician")).alias("who"), F.lower(F.regexp_replace(file, r"\.[^.]*\z", "")).alias("name"),
-        lowered_md5(F.col("md5")).alias("exact"), fingerprint(F.col("phash")).alias("fp"), "source",
+        F.lower("md5").alias("exact"), fingerprint(F.col("phash")).alias("fp"), "source",
     )
 
 

@@ -1,65 +1,17 @@
-"""Written intermediates.
-
-Lineage is cut by writing Parquet below the folder the cluster names in
-``spark.checkpoint.dir``: every executor can read it again after another one
-was lost.  Only where that setting is absent and the master is local (tests, a
-laptop) a temporary folder of this machine is used.
-"""
+"""Written intermediates (``sources.tables``), and how wide to shuffle."""
 
 from __future__ import annotations
 
 import math
-import tempfile
-import uuid
-import weakref
-
-from pyspark.sql import DataFrame, SparkSession
-
-_LOCAL: list[str] = []
-_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """Folder all executors share, without a trailing slash."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="quarrymill-"))
-    return "file://" + _LOCAL[0]
 
+from pyspark.sql import SparkSession
 
-def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{scratch_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+from ..sources.tables import drop_path, dropped, new_path, written
 
-
-def written(df: DataFrame, tag: str, *partition_by: str) -> DataFrame:
-    """Write ``df`` and return the table read back: a fault-tolerant cut of the lineage."""
-    spark = df.sparkSession
-    path = new_path(spark, tag)
-    schema = df.schema
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    table = spark.read.schema(schema).parquet(path)
-    _PATHS[table] = path
-    return table
+__all__ = ["drop_path", "dropped", "new_path", "partitions_for", "written"]
 
 
 def partitions_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:
     """Shuffle width that keeps a task's share of ``rows`` near ``rows_per_task``."""
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(least, math.ceil(rows / rows_per_task))
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def drop_scratch(spark: SparkSession, *tables: DataFrame) -> None:
-    """Delete the folders of tables made by :func:`written` once nothing reads them any more."""
-    for table in tables:
-        if path := _PATHS.pop(table, None):
-            drop_path(spark, path)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import drop_scratch, new_path, partitions_for, written
+from .scratch import dropped, new_path, partitions_for, written
 
 LOCAL_SLOTS = 1 << 16
 STEP = 256  # records a filter tests before it takes them in
@@ -267,5 +267,5 @@ class KeyStore:
         fresh.select("slice", "hash").groupBy("slice").applyInArrow(_build_filter(self.config), "slice int, keys long, bits binary").write.parquet(f"{self.path}/filters/part={self.parts}")
         self.parts += 1
         out = rows.join(marked.select("hash", *names, "first", "positive", "known"), ["hash", *names])
-        drop_scratch(self.spark, firsts)
+        dropped(firsts)
         return out.select("order", (F.col("known") | (F.col("order") > F.col("first"))).alias("seen"), (F.col("positive") & ~F.col("known")).alias("disproved")).distinct()
