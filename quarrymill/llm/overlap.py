@@ -6,7 +6,8 @@ shingles.  With the shingles of each print in one global order, rarest first,
 the prefix filter for an overlap of three with two prefix matches holds: the
 first two shared shingles lie among the first seven of either print.  Pairs of
 prefix shingles are the index keys; where both shingles of a key are very
-frequent, the third shared one joins the key.  Evaluation prefixes are indexed
+frequent, the third shared one joins the key, and where all three are, the
+training prints of the key are divided.  Evaluation prefixes are indexed
 first; training keys that no evaluation print has don't travel.  What meets
 passes the length filter (numbers of set bits differ by at most 5) and is verified.
 """
@@ -14,6 +15,7 @@ passes the length filter (numbers of set bits differ by at most 5) and is verifi
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -26,8 +28,10 @@ from .balls import gather
 from .scratch import partitions_for, written
 
 RADIUS, SHINGLES, SHARED = 5, 8, 3
+HOT_KEY = 16384  # prints expected under a key, beyond which another shingle joins it, or its training prints are divided
+MOST_PARTS = 1 << 14
 PREFIX = SHINGLES - SHARED + 2
-_KEYS = "key int, fp long, side byte"
+_KEYS = "key int, salt short, fp long, side byte"
 _BLOCK = 1 << 21
 _CHUNK = 32768  # bits of one value of bitmap_or_agg
 _PAIR_SLOTS, _TRIPLE_SLOTS = 28 << 16, 1 << 25  # of the evaluation keys' bitmap: one for each pair key, hashed for the others
@@ -58,31 +62,46 @@ def _slot(key: np.ndarray) -> np.ndarray:
     return np.where(key >> 30 == 1, mixed.astype(np.int64) + _PAIR_SLOTS, key)
 
 
-def _keys_of(fp: np.ndarray, rank: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Prefix keys and the row each belongs to.  rank: rarity order of the 2,048 shingles; hot: which are very frequent."""
+@dataclass(frozen=True)
+class _Shingles:
+    """Of the 2,048 shingles: their rarity order, which are very frequent, and the share of prints that have them."""
+
+    rank: np.ndarray
+    hot: np.ndarray
+    share: np.ndarray
+    prints: int
+    hot_key: int
+
+
+def _keys_of(fp: np.ndarray, s: _Shingles) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Prefix keys, the row each belongs to, and into how many parts the training prints of a key are divided."""
+    rank, hot = s.rank, s.hot
     token = fp.view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(8) * 256
     token = np.take_along_axis(token, np.argsort(rank[token], axis=1), axis=1)
-    keys, rows = [], []
+    keys, rows, parts = [], [], []
     for i, j in combinations(range(PREFIX), 2):
         deep = hot[token[:, i]] & hot[token[:, j]]
         at = np.flatnonzero(~deep)
         keys.append(_key(token[at][:, [i, j]]))
         rows.append(at)
+        parts.append(np.ones(len(at), np.int64))
         at = np.flatnonzero(deep)
         for k in range(j + 1, SHINGLES) if len(at) else ():
-            keys.append(_key(token[at][:, [i, j, k]]))
+            three = token[at][:, [i, j, k]]
+            keys.append(_key(three))
             rows.append(at)
-    return np.concatenate(keys), np.concatenate(rows)
+            parts.append(np.clip(np.ceil(s.share[three].prod(axis=1) * s.prints / s.hot_key), 1, MOST_PARTS).astype(np.int64))
+    return np.concatenate(keys), np.concatenate(rows), np.concatenate(parts)
 
 
-def _bitmaps(rank: np.ndarray, hot: np.ndarray):
+def _bitmaps(s: _Shingles):
     """Of evaluation prints, the chunks of their keys' bitmap that aren't empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         there = np.zeros(_PAIR_SLOTS + _TRIPLE_SLOTS, bool)
         for batch in batches:
             if batch.num_rows:
-                there[_slot(_keys_of(batch.column(0).to_numpy(), rank, hot)[0])] = True
+                there[_slot(_keys_of(batch.column(0).to_numpy(), s)[0])] = True
         chunks = there.reshape(-1, _CHUNK)
         some = np.flatnonzero(chunks.any(axis=1))
         bits = [np.packbits(chunks[c], bitorder="little").tobytes() for c in some]
@@ -91,8 +110,12 @@ def _bitmaps(rank: np.ndarray, hot: np.ndarray):
     return run
 
 
-def _index_keys(rank: np.ndarray, hot: np.ndarray, evaluated: Broadcast):
-    """Keys of evaluation prints, and those keys of training prints that an evaluation print may have."""
+def _index_keys(s: _Shingles, evaluated: Broadcast):
+    """Keys of evaluation prints, and those keys of training prints that an evaluation print may have.
+
+    Where three frequent shingles make a key that very many prints are expected
+    to have, its training prints are divided, and an evaluation print meets each part.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = evaluated.value
@@ -100,11 +123,16 @@ def _index_keys(rank: np.ndarray, hot: np.ndarray, evaluated: Broadcast):
             fp, side = (batch.column(i).to_numpy() for i in (0, 1))
             if not len(fp):
                 continue
-            keys, at = _keys_of(fp, rank, hot)
+            keys, at, parts = _keys_of(fp, s)
             slot = _slot(keys)
             some = (side[at] == 1) | (bits[slot >> 3] >> (slot & 7).astype(np.uint8) & 1 == 1)
-            keys, at = keys[some].astype(np.int32), at[some]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[at]), pa.array(side[at])], ["key", "fp", "side"])
+            keys, at, parts = keys[some].astype(np.int32), at[some], parts[some]
+            many = np.where(side[at] == 1, parts, 1)
+            first = np.cumsum(many) - many
+            keys, at, parts = np.repeat(keys, many), np.repeat(at, many), np.repeat(parts, many)
+            own = (fp[at].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) % parts
+            salt = np.where(side[at] == 1, np.arange(len(at)) - np.repeat(first, many), own).astype(np.int16)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(salt), pa.array(fp[at]), pa.array(side[at])], ["key", "salt", "fp", "side"])
 
     return run
 
@@ -113,7 +141,8 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     columns = gather(batches)
     if not columns:
         return
-    keys, prints, side = columns
+    keys, salt, prints, side = columns
+    keys = keys.astype(np.int64) << 16 | salt
     by = np.lexsort((side, keys))
     keys, prints, side = keys[by], prints[by].view(np.uint64), side[by]
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
@@ -142,7 +171,7 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["trained", "tested"])
 
 
-def near_across(prints: DataFrame) -> DataFrame:
+def near_across(prints: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
     """``prints(fp long, side byte)``, distinct, side 0 training and 1 evaluation: pairs ``(trained, tested)`` within distance 5."""
     spark = prints.sparkSession
     byte = lambda i: F.shiftrightunsigned("fp", 8 * i).bitwiseAND(F.lit(255)) + 256 * i
@@ -153,15 +182,15 @@ def near_across(prints: DataFrame) -> DataFrame:
     n = int(frequency[:256].sum())
     rank = np.empty(2048, np.int64)
     rank[np.lexsort((np.arange(2048), frequency))] = np.arange(2048)
-    # a key of two shingles this frequent would hold more than some 16,000 prints
-    hot = frequency.astype(float) ** 2 / max(1, n) > 16384
+    # a key of two shingles this frequent would be expected to hold more prints than that
+    shingles = _Shingles(rank, frequency.astype(float) ** 2 / max(1, n) > hot_key, frequency / max(1, n), n, hot_key)
     # a bitmap of fixed size, 4.4 MB, however many keys there are
-    chunks = prints.where("side = 1").select("fp").mapInArrow(_bitmaps(rank, hot), "chunk int, bits binary").groupBy("chunk").agg(F.bitmap_or_agg("bits").alias("bits")).collect()
+    chunks = prints.where("side = 1").select("fp").mapInArrow(_bitmaps(shingles), "chunk int, bits binary").groupBy("chunk").agg(F.bitmap_or_agg("bits").alias("bits")).collect()
     bits = np.zeros((_PAIR_SLOTS + _TRIPLE_SLOTS) // 8, np.uint8)
     for row in chunks:
         bits[row.chunk * _CHUNK // 8 : (row.chunk + 1) * _CHUNK // 8] = np.frombuffer(row.bits, np.uint8)
-    keys = prints.mapInArrow(_index_keys(rank, hot, spark.sparkContext.broadcast(bits)), _KEYS)
-    spread = keys.repartition(partitions_for(spark, n * 21, 3 << 20), "key")
+    keys = prints.mapInArrow(_index_keys(shingles, spark.sparkContext.broadcast(bits)), _KEYS)
+    spread = keys.repartition(partitions_for(spark, n * 21, 3 << 20), "key", "salt")
     return written(spread.mapInArrow(_probe, "trained long, tested long").distinct(), "overlap-near")
 
 

@@ -114,7 +114,8 @@ def test_overlap_equals_brute_force(spark):
     df = spark.createDataFrame([(int(p), int(s)) for p, s in zip(prints, side, strict=True)], "fp long, side byte").distinct()
     x = prints.view(np.uint64)
     want = {(int(prints[i]), int(prints[j])) for i in range(len(x)) for j in range(len(x)) if side[i] == 0 and side[j] == 1 and bin(int(x[i] ^ x[j])).count("1") <= 5}
-    assert {(r.trained, r.tested) for r in overlap.near_across(df).collect()} == want
+    for hot_key in (16384, 1):  # keys of two shingles; of three, divided
+        assert {(r.trained, r.tested) for r in overlap.near_across(df, hot_key).collect()} == want
 
 
 def test_overlap_edges(spark):
