@@ -262,10 +262,11 @@ def test_a_long_chain_is_settled(spark, config):
 def test_each_batch_is_ingested_on_its_own(spark, monkeypatch):
     met = []
 
-    def settle(self, batch):
+    def prepare(self, batch):
         met.append(sorted(r.ord & ((1 << history.SEQ_BITS) - 1) for r in batch.collect()))
 
-    monkeypatch.setattr(history.History, "settle", settle)
+    monkeypatch.setattr(history.History, "prepare", prepare)
+    monkeypatch.setattr(history.History, "settle", lambda self, batch: None)
     df = spark.createDataFrame([(i, "a", i % 5, f"m{i}", None) for i in range(10)], "seq long, label string, batch_no int, md5 string, embedding array<float>")
     history.replay(df, spark.createDataFrame([], "label string, ref array<float>"))
     assert met == [[i, i + 5] for i in range(5)]
