@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import vectors as V
 from ..settings import DEFAULTS
 from ..sources.tables import new_path, table
 from ..streaming import flows
@@ -38,7 +39,8 @@ def stream_distinct(spark: SparkSession, d: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     """Labels, reasons and counts; a record delivered again counts once."""
-    rows = _drained(spark, d, "dedup_item", "seq", lambda s: flows.deduplicated_stream(s.selectExpr("label", "seq", "lower(md5) AS md5", "phash", "embedding"), s=DEFAULTS))
+    vector = F.when(V.has_length(F.col("embedding"), 64), F.col("embedding")).alias("embedding")
+    rows = _drained(spark, d, "dedup_item", "seq", lambda s: flows.deduplicated_stream(s.select("label", "seq", F.lower("md5").alias("md5"), "phash", vector), s=DEFAULTS))
     return rows.groupBy("label", "reason").count()
 
 

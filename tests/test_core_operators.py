@@ -172,6 +172,19 @@ def test_streams_equal_batch_over_micro_batches(spark, tmp_path):
     assert got == {r.seq for r in dedup.greedy_by_class(df.select("seq"), members, near, "seq").where("kept").collect()}
 
 
+def test_stream_state_meets_vectors_of_other_widths(spark, tmp_path):
+    """A later micro-batch that begins with a shorter vector; equal vectors of another width are no copies."""
+    rng = np.random.default_rng(2)
+    wide, other, narrow = unit(*rng.normal(size=64)), unit(*rng.normal(size=64)), unit(*rng.normal(size=32))[:32]
+    batches = [[(0, "a", None, None, wide), (1, "a", None, None, other)], [(2, "a", None, None, narrow), (3, "a", None, None, wide)], [(4, "a", None, None, narrow), (5, "a", None, None, other)], [(6, "a", None, None, [0.0] * 64)]]
+    schema = "seq long, label string, md5 string, phash string, embedding array<float>"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    flows.drain(flows.deduplicated_stream(flows.stream_table(spark, str(tmp_path / "in"), schema)), str(tmp_path / "out"), str(tmp_path / "cp"))
+    got = {r.seq: r.reason for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {0: "new", 1: "new", 2: "new", 3: "dup:emb", 4: "dup:emb", 5: "dup:emb", 6: "new"}
+
+
 def png(rgb: np.ndarray) -> bytes:
     h, w, _ = rgb.shape
     raw = b"".join(b"\0" + rgb[y].astype(np.uint8).tobytes() for y in range(h))
