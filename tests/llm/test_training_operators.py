@@ -272,6 +272,26 @@ def test_each_batch_is_ingested_on_its_own(spark, monkeypatch):
     assert met == [[i, i + 5] for i in range(5)]
 
 
+def test_history_stays_where_it_is(spark, monkeypatch):
+    """A batch of too many keys to broadcast: neither stored keys nor stored records are shuffled to meet it."""
+    plans, write = [], history.written
+
+    def written(df, tag):
+        plans.append((tag, df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, tag)
+
+    monkeypatch.setattr(history, "written", written)
+    rng = np.random.default_rng(8)
+    rows = [(i, "a", i % 2, f"m{i % 30}", v.tolist()) for i, v in enumerate(cloud(rng, 60, 0.2))]
+    df = spark.createDataFrame(rows, "seq long, label string, batch_no int, md5 string, embedding array<float>")
+    refs = spark.createDataFrame([], "label string, ref array<float>")
+    assert history.replay(df, refs, history.HistoryConfig(broadcast_rows=0)).count() >= 30
+    pairs, links = ([plan for tag, plan in plans if tag == f"history-{x}"][-1] for x in ("pairs", "links"))
+    assert "Exchange hashpartitioning(key" not in pairs and pairs.count("ShuffledHashJoin") == 2
+    scan = links[links.index("ShuffledHashJoin") :].split("Filter")[0]
+    assert "Exchange" not in scan and links.count("ShuffledHashJoin") >= 1
+
+
 def test_band_keys_select(spark):
     """Pairs at a cosine of 0.92 share a key; less than one in a hundred of unrelated pairs do."""
     config = history.HistoryConfig()
