@@ -6,9 +6,9 @@ import math
 
 from pyspark.sql import SparkSession
 
-from ..sources.tables import drop_path, dropped, new_path, written
+from ..sources.tables import drop_path, dropped, new_path, released, written
 
-__all__ = ["drop_path", "dropped", "new_path", "partitions_for", "written"]
+__all__ = ["drop_path", "dropped", "new_path", "partitions_for", "released", "written"]
 
 
 def partitions_for(spark: SparkSession, rows: int, rows_per_task: int) -> int:

@@ -292,6 +292,19 @@ def test_history_stays_where_it_is(spark, monkeypatch):
     assert "Exchange" not in scan and links.count("ShuffledHashJoin") >= 1
 
 
+def test_a_batch_leaves_little_with_the_driver(spark, monkeypatch):
+    """A batch takes few jobs, whose plans, metrics and threads the driver keeps for a while, and its garbage is collected."""
+    cleared = []
+    monkeypatch.setattr(history, "released", cleared.append, raising=False)
+    rows = [(i, "a", i % 6, f"m{i % 30}", v.tolist()) for i, v in enumerate(cloud(np.random.default_rng(8), 60, 0.2))]
+    df = spark.createDataFrame(rows, "seq long, label string, batch_no int, md5 string, embedding array<float>")
+    jobs = spark.sparkContext._jsc.sc().dagScheduler().numTotalJobs
+    before = jobs()
+    got = history.replay(df, spark.createDataFrame([], "label string, ref array<float>"))
+    assert jobs() - before <= 27 * 6
+    assert len(cleared) == 6 and got.count() >= 30
+
+
 def test_band_keys_select(spark):
     """Pairs at a cosine of 0.92 share a key; less than one in a hundred of unrelated pairs do."""
     config = history.HistoryConfig()
